@@ -26,19 +26,24 @@ def local_session(cores: str | int = "*", app: str = "opinionlens") -> SparkSess
     )
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    A machine-local folder is made up only where the setting is missing,
-    which is the single-machine case.
+    A machine-local folder is made up only where the setting is missing and
+    the session is a single machine.
     """
     path = spark.conf.get(CHECKPOINT_KEY, None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="opinionlens-")
-        spark.conf.set(CHECKPOINT_KEY, path)
-    return path
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="opinionlens-")
+    return _LOCAL_DIRS[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -33,10 +33,9 @@ ENTITIES = {
 _COMMON = "|".join(re.escape(e[1:]) for e in ENTITIES)
 OTHER_ENTITY = rf"&(?!(?:{_COMMON}))[#a-zA-Z]"
 
-# Markup is one of: comment, script or style with content, any other tag.
-MARKUP = (
-    r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|</?[a-z][^>]*>|<![^>]*>"
-)
+# Parts whose content is not markup: comments, scripts, styles.
+RAW_PARTS = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+TAGS = r"(?i)</?[a-z][^>]*>|<![^>]*>"
 EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
@@ -117,9 +116,13 @@ def balanced_inner(page: Column, selector: Selector) -> Column:
     return F.when(start > 0, bind(pieces, inside))
 
 
+def mark_raw_parts(page: Column) -> Column:
+    """Put a mark in place of everything that is neither text nor a tag."""
+    return F.regexp_replace(F.translate(page, MARK + LIST_MARK, "  "), RAW_PARTS, MARK)
+
+
 def mark_tags(markup: Column) -> Column:
-    """Replace each piece of markup by one mark character."""
-    return F.regexp_replace(F.translate(markup, MARK + LIST_MARK, "  "), MARKUP, MARK)
+    return F.regexp_replace(markup, TAGS, MARK)
 
 
 def joined_nodes(marked: Column) -> Column:
@@ -157,11 +160,13 @@ def extract_articles(
     """
     sel = selectors or ArticleSelectors()
     single = {"content": sel.body, "title": sel.title, "time": sel.time, "place": sel.place, "source": sel.source}
-    raw = pages.select(
-        *keys,
-        *[balanced_inner(F.col(page), s).alias(name) for name, s in single.items()],
-        balanced_inner(F.col(page), sel.comments).alias("comments"),
-    )
+
+    def cut(p: Column) -> Column:
+        fields = [balanced_inner(p, s).alias(name) for name, s in single.items()]
+        return F.struct(*fields, balanced_inner(p, sel.comments).alias("comments"))
+
+    # As generator output the fields cannot be inlined into the filters below.
+    raw = pages.select(*keys, F.inline_outer(F.transform(F.array(mark_raw_parts(F.col(page))), cut)))
     reason = F.when(F.col("content").isNull(), "no body").when(F.col("title").isNull(), "no title")
     raw = raw.withColumn("reason", reason)
     rejects = raw.filter(F.col("reason").isNotNull()).select(*keys, "reason")

@@ -1,0 +1,74 @@
+import json
+
+import pytest
+
+from opinionlens.operators.explore import hot_keywords, overview, same_topic, search, search_summary
+from opinionlens.operators.report import report_requests
+
+SCHEMA = "id int, cut_content string, text string, keyword1 string, keyword2 string, keyword3 string, dominant_topic int, sentiment_label string"
+ROWS = [
+    (1, "ABC x", "ABC x", "a", "b", None, 0, "Positive"),
+    (2, "É", "É", "a", "c", None, 1, "Neutral"),
+    (3, "back\\slash", "back\\slash", None, None, None, 0, "Negative"),
+    (4, None, None, None, None, None, 0, "Negative"),
+    (5, " ", "100%", "q_z", None, None, 1, "Positive"),
+]
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+def ids(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+@pytest.mark.parametrize(
+    "keyword, literal, expect",
+    [
+        ("b", False, [1, 3]), (" BC ", False, [1]), ("é", False, []), ("É", False, [2]), ("%", False, [1, 2, 3, 5]),
+        ("%", True, [5]), ("\\", False, [3]), ("\\", True, [3]), ("", False, [1, 2, 3, 5]), ("q_z", False, [5]),
+        ("1_0", False, [5]), ("1_0", True, []), ("c", False, [1, 2, 3]),
+    ],
+)
+def test_search(results, keyword, literal, expect):
+    assert ids(search(results, keyword, literal)) == expect
+
+
+def test_same_topic(results):
+    assert ids(same_topic(results, "abc")) == [1, 3, 4]
+    assert ids(same_topic(results, "abc", exclude_hits=True)) == [3, 4]
+    assert ids(same_topic(results, "nothing")) == []
+
+
+def test_summary(results):
+    row = search_summary(results, "b").first()
+    assert tuple(row)[:4] == (2, 1, 0, 1)
+    assert row["api_summary"] == "搜索关键词 'b' 共找到 2 条评论，其中正面评论 1 条，中性评论 0 条，负面评论 1 条。"
+    row = search_summary(results, "zzz").first()
+    assert tuple(row) == (0, 0, 0, 0, "未找到与关键词 'zzz' 相关的评论。")
+
+
+def test_hot_keywords_and_overview(results):
+    two = results.filter("id <= 2")
+    assert [tuple(r) for r in hot_keywords(two).collect()] == [("a", 2), (None, 2), ("b", 1), ("c", 1)]
+    assert [tuple(r) for r in hot_keywords(two, drop_null=True).collect()] == [("a", 2), ("b", 1), ("c", 1)]
+    comments, hot = overview(results, 2)
+    assert ids(comments) == [1, 2] and hot.count() == 5
+
+
+def test_report_parts_hold_every_comment_once(spark):
+    rows = [(i, None if i % 50 == 1 else f" t{i} ", 0 if i % 3 else i % 2, "") for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, text string, dominant_topic int, label string").repartition(3)
+    got = report_requests(df, "reform", per_request=40).collect()
+    seen = {0: [], 1: []}
+    for r in sorted(got, key=lambda r: r["part"]):
+        body = json.loads(r["payload"])
+        assert body["messages"][0]["content"] == r["prompt"] and body["max_tokens"] == 1500
+        line = next(x for x in r["prompt"].split("\n") if x.startswith("["))
+        texts = json.loads(line)
+        assert len(texts) == r["n_comments"] <= 40
+        seen[r["dominant_topic"]] += texts
+    for topic in (0, 1):
+        assert seen[topic] == [t.strip() for i, t, g, _ in rows if g == topic and t]

@@ -21,7 +21,7 @@ from opinionlens.operators.scaling import bounded_join  # noqa: E402
 from opinionlens.operators.stopwords import stopword_filter as remove_stopwords  # noqa: E402
 from opinionlens.operators.topics import TopicModel, fit_topics  # noqa: E402
 from opinionlens.plans.opinion import Config, analyse  # noqa: E402
-from opinionlens.session import materialize  # noqa: E402
+from opinionlens.session import materialize, spread  # noqa: E402
 from opinionlens.sources import pages as html_pages  # noqa: E402
 from opinionlens.sources import posts as collected  # noqa: E402
 from opinionlens.sources.files import union_words  # noqa: E402
@@ -51,8 +51,12 @@ def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{table}.parquet")
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(_read(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return features.tokens_of(_read(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "tokens")
+    return features.tokens_of(_documents(spark, sf)).select("doc_id", "tokens")
 
 
 def _benchmark_words(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,7 +66,7 @@ def _benchmark_words(spark: SparkSession, sf: str) -> DataFrame:
 def _stopwords(spark: SparkSession, sf: str) -> DataFrame:
     """Words found in at least 5% of the benchmark items."""
     items = _benchmark_words(spark, sf)
-    n_items = items.agg(F.count("*")).scalar()
+    n_items = _read(spark, sf, "benchmark").agg(F.count("*")).scalar()
     return features.vocabulary(items).filter(F.col("df") >= STOP_SHARE * n_items).select("word")
 
 
@@ -109,7 +113,7 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_clean_text(spark: SparkSession, sf: str) -> DataFrame:
-    return _read(spark, sf, "documents").select("doc_id", clean_text("text").alias("cleaned_content"))
+    return _documents(spark, sf).select("doc_id", clean_text("text").alias("cleaned_content"))
 
 
 def q_tokens(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,7 +166,7 @@ def q_bag_word_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_tfidf_top(spark: SparkSession, sf: str) -> DataFrame:
-    return features.tfidf_top(_tokens(spark, sf), n=10)
+    return features.tfidf_top(_tokens(spark, sf), n=10, documents=_read(spark, sf, "documents"))
 
 
 # --- keywords -----------------------------------------------------------
@@ -319,21 +323,25 @@ def q_store_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_report_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    return report_requests(_results(spark, sf), SUBJECT)
+    return report_requests(materialize(_results(spark, sf)), SUBJECT)
 
 
 # --- collection ---------------------------------------------------------
 
 
+def _pages(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(_read(spark, sf, "pages"), "page_id")
+
+
 def q_html_articles(spark: SparkSession, sf: str) -> DataFrame:
-    articles, _ = html_pages.extract_articles(_read(spark, sf, "pages"), PAGE_SELECTORS)
+    articles, _ = html_pages.extract_articles(_pages(spark, sf), PAGE_SELECTORS)
     return articles.select(
         "page_id", "title", "time", "place", "content", "source", F.array_join("comments", "\n").alias("comments")
     )
 
 
 def q_html_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return html_pages.extract_articles(_read(spark, sf, "pages"), ENGLISH_ONLY)[1]
+    return html_pages.extract_articles(_pages(spark, sf), ENGLISH_ONLY)[1]
 
 
 def q_post_comment_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -420,7 +428,7 @@ def q_emotion_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_opinion_results(spark: SparkSession, sf: str) -> DataFrame:
-    comments = _read(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    comments = _documents(spark, sf).withColumnRenamed("text", "content")
     _, model = _nb(spark, sf)
     results, _ = analyse(comments, model, Config(stopwords=_stopwords(spark, sf), vector_size=32))
     return results

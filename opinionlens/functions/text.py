@@ -89,6 +89,18 @@ def word_counts(tokens: Column | str) -> Column:
     return bind(F.sort_array(filled), lambda s: bind(starts(s), lambda b: runs(s, b)))
 
 
+def with_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add computed columns as generator output.
+
+    A filter on a projected column is pushed below the projection with the
+    whole expression in it, which is then computed once more. It cannot pass
+    a generator, so these columns are computed exactly once per row.
+    """
+    names = [c for c in df.columns if c not in columns]
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*names, F.inline_outer(F.array(row)))
+
+
 def explode_counts(df: DataFrame, *keep: Column | str, tokens: str = "tokens") -> DataFrame:
     """``keep`` columns plus (word, cnt), one row per distinct word of a row.
 

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinionlens.functions.text import frequent_words, word_counts
+from opinionlens.functions.text import frequent_words, with_once, word_counts
 
 # The word matrix is broadcast only up to this size; see `cosine_topk`.
 MAX_MATRIX_BYTES = 256 << 20
@@ -30,7 +30,7 @@ def keyword_columns(df: DataFrame, keywords: str = "keywords") -> DataFrame:
 
 def frequency_keywords(df: DataFrame, tokens: str = "tokens", out: str = "keywords", n: int = 3) -> DataFrame:
     """The most frequent words of each row, found inside the row."""
-    return df.withColumn(out, frequent_words(word_counts(tokens), n))
+    return with_once(df, **{out: frequent_words(word_counts(tokens), n)})
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:

@@ -24,7 +24,8 @@ def with_position(df: DataFrame, order: Sequence[Column | str], out: str = "posi
     Rows are range-partitioned, so no task sees more than its share even when
     one key holds a third of them. The in-partition position comes from the
     sorted partition itself and the offsets from one count per partition.
-    ``order`` must be unique for the result to be repeatable.
+    ``order`` must be unique for the result to be repeatable. Range
+    partitioning reads its input twice, so materialize a costly one first.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -57,3 +57,13 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input that arrives in too few partitions.
+
+    A file with one row group is one task whatever its size. Inputs of many
+    files already have enough partitions and are left alone, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -18,6 +18,7 @@ from opinionlens.functions.text import clean_text, join_tokens, truncate_tokens
 from opinionlens.operators import emotion, explore, features, keywords, sentiment, store  # noqa: E402
 from opinionlens.operators.report import report_requests  # noqa: E402
 from opinionlens.operators.scaling import bounded_join  # noqa: E402
+from opinionlens.operators.segment import segment  # noqa: E402
 from opinionlens.operators.stopwords import stopword_filter as remove_stopwords  # noqa: E402
 from opinionlens.operators.topics import TopicModel, fit_topics  # noqa: E402
 from opinionlens.plans.opinion import Config, analyse  # noqa: E402
@@ -120,6 +121,14 @@ def q_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return _tokens(spark, sf).select("doc_id", F.size("tokens").alias("n"), join_tokens("tokens", "|").alias("tokens"))
 
 
+def q_segment(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned text over a lexicon of the benchmark words and their counts."""
+    lexicon = features.vocabulary(_benchmark_words(spark, sf)).select("word", F.col("cnt").alias("freq"))
+    cleaned = _documents(spark, sf).select("doc_id", clean_text("text").alias("cleaned_content"))
+    cut = segment(cleaned, lexicon)
+    return cut.select("doc_id", F.size("tokens").alias("n"), join_tokens("tokens", " ").alias("cut_content"))
+
+
 def q_stopword_union(spark: SparkSession, sf: str) -> DataFrame:
     docs = features.vocabulary(_tokens(spark, sf)).select("word")
     items = features.vocabulary(_benchmark_words(spark, sf)).select("word")
@@ -582,6 +591,8 @@ def oracle_sql() -> dict[str, str]:
         "clean_text": f"SELECT doc_id, {_sql_clean('text')} AS cleaned_content FROM documents",
         "tokens": f"""WITH tok AS ({_sql_tokens("documents", "doc_id")})
             SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n, array_to_string(tokens, '|') AS tokens FROM tok""",
+        "segment": f"""WITH tok AS ({_sql_tokens("documents", "doc_id")})
+            SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n, array_to_string(tokens, ' ') AS cut_content FROM tok""",
         "stopword_union": f"""WITH a AS ({_sql_tokens("documents", "doc_id")}), b AS ({_sql_tokens("benchmark", "item_id")})
             SELECT unnest(tokens) AS word FROM a UNION SELECT unnest(tokens) AS word FROM b""",
         "stopword_filter": f"""WITH {_STOP}

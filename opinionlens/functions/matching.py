@@ -16,7 +16,7 @@ def fold_ascii(c: Column) -> Column:
 
 
 def contains_keyword(columns: Sequence[str], keyword: str, literal: bool = False) -> Column:
-    """True where any column holds the trimmed keyword.
+    """True where any column holds the trimmed keyword; null where none can tell.
 
     By default ``%`` and ``_`` inside the keyword are wildcards and there is
     no escape character; ``literal=True`` takes the keyword as plain text.
@@ -28,4 +28,4 @@ def contains_keyword(columns: Sequence[str], keyword: str, literal: bool = False
     else:
         pattern = "%" + folded.replace("\\", "\\\\") + "%"
         hits = [fold_ascii(F.col(c)).like(pattern) for c in columns]
-    return F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(h, F.lit(False)) for h in hits]), F.lit(False))
+    return reduce(lambda a, b: a | b, hits)

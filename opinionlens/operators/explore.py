@@ -83,7 +83,8 @@ def same_topic(
     first = search(results, keyword, literal).agg(F.min_by("dominant_topic", id_col).alias("dominant_topic"))
     out = results
     if exclude_hits:
-        out = out.filter(~contains_keyword(("text", *KEYWORD_COLUMNS), keyword, literal))
+        hit = contains_keyword(("text", *KEYWORD_COLUMNS), keyword, literal)
+        out = out.filter(~F.coalesce(hit, F.lit(False)))
     return out.join(F.broadcast(first), "dominant_topic", "left_semi")
 
 

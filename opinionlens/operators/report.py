@@ -56,7 +56,7 @@ def report_requests(
     rows = comments.select(group, id_col, text).filter(
         F.col(group).isNotNull() & (F.trim(F.coalesce(F.col(text), F.lit(""))) != "")
     )
-    placed = materialize(with_position(rows, [group, id_col], "position"))
+    placed = with_position(rows, [group, id_col], "position")
     starts = materialize(placed.groupBy(group).agg(F.min("position").alias("start")))
     part = F.floor((F.col("position") - F.col("start")) / per_request).cast("bigint") + 1
     parts = bounded_join(placed, starts, group, id_col).withColumn("part", part)

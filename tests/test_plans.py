@@ -1,0 +1,88 @@
+"""Physical plans: where rows move, and what the scans read."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from opinionlens.operators.explore import hot_keywords, same_topic, search, search_summary
+from opinionlens.operators.features import bag_of_words, tokens_of, vocabulary
+from opinionlens.operators.keywords import frequency_keywords, keyword_columns
+from opinionlens.operators.sentiment import sentiment_by_topic
+from opinionlens.operators.store import write_results
+from opinionlens.operators.stopwords import stopword_filter
+from opinionlens.sources.posts import cap_per_source
+from opinionlens.session import spread
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df):
+    return len(re.findall(r"(?<!Broadcast)Exchange ", plan(df)))
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("docs") / "d")
+    rows = [(i, f"the word{i % 5} a b", f"s{i % 3}", i) for i in range(100)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def results(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("results") / "r")
+    rows = [(i, f"text {i}", f"k{i % 9}", "x", None, 0.5, i % 4, "Neutral") for i in range(100)]
+    cols = "id long, text string, keyword1 string, keyword2 string, keyword3 string, sentiment_score double, dominant_topic int, sentiment_label string"
+    write_results(spark.createDataFrame(rows, cols), path)
+    return spark.read.parquet(path)
+
+
+def test_row_local_stages_do_not_shuffle(docs):
+    tokens = tokens_of(docs)
+    assert shuffles(bag_of_words(tokens)) == 0
+    assert shuffles(keyword_columns(frequency_keywords(tokens))) == 0
+    assert shuffles(stopword_filter(tokens, ["the"])) == 0
+    assert "INSET" in plan(stopword_filter(tokens, [f"w{i}" for i in range(50)]))
+
+
+def test_scans_read_only_what_is_used(docs):
+    assert "ReadSchema: struct<text:string>" in plan(vocabulary(tokens_of(docs)))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan(bag_of_words(tokens_of(docs)))
+
+
+def test_one_partial_aggregation(docs, results):
+    assert shuffles(vocabulary(tokens_of(docs))) == 1
+    assert shuffles(sentiment_by_topic(results)) == 1
+    hot = hot_keywords(results)
+    assert shuffles(hot) == 1 and "TakeOrderedAndProject" in plan(hot)
+
+
+def test_filters_do_not_repeat_token_work(docs):
+    ranked = keyword_columns(frequency_keywords(tokens_of(docs))).withColumn("text", F.array_join("tokens", " "))
+    text = plan(ranked.filter("keyword1 = 'a' and text like '%b%'"))
+    assert text.count("sort_array(coalesce(tokens") == 1 and text.count("lower(") == 1
+
+
+def test_search_is_a_scan_and_a_summary_one_row_per_task(results):
+    assert shuffles(search(results, "x")) == 0
+    assert shuffles(search_summary(results, "x")) == 1
+
+
+def test_same_topic_prunes_partitions(results):
+    text = plan(same_topic(results, "text 7"))
+    assert "BroadcastHashJoin" in text and "dynamicpruning" in text
+
+
+def test_rank_limit_comes_before_the_shuffle(docs):
+    text = plan(cap_per_source(docs))
+    assert text.index("WindowGroupLimit", text.index("Exchange")) > 0 and "Partial" in text
+
+
+def test_spread_leaves_wide_inputs_alone(spark, docs):
+    wide = docs.repartition(16)
+    assert spread(wide, "doc_id") is wide
+    narrow = docs.coalesce(1)
+    assert spread(narrow, "doc_id").rdd.getNumPartitions() >= 8

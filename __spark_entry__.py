@@ -6,6 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +14,11 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
+import opinionlens  # noqa: E402
 from opinionlens.functions.ranking import dominant_index, sentiment_label  # noqa: E402
 from opinionlens.functions.text import clean_text, join_tokens, truncate_tokens  # noqa: E402
 from opinionlens.operators import emotion, explore, features, keywords, sentiment, store  # noqa: E402
-from opinionlens.operators.report import report_requests  # noqa: E402
+from opinionlens.operators.report import report_requests, search_report  # noqa: E402
 from opinionlens.operators.scaling import bounded_join  # noqa: E402
 from opinionlens.operators.segment import segment  # noqa: E402
 from opinionlens.operators.stopwords import stopword_filter as remove_stopwords  # noqa: E402
@@ -27,6 +29,9 @@ from opinionlens.sources import pages as html_pages  # noqa: E402
 from opinionlens.sources import posts as collected  # noqa: E402
 from opinionlens.sources.files import union_words  # noqa: E402
 
+# Workers may start in another folder, where the package cannot be imported.
+cloudpickle.register_pickle_by_value(opinionlens)
+
 KEYWORD = "Tion"
 ABSENT_KEYWORD = "no such words here"
 SUBJECT = "health care reform"
@@ -335,6 +340,10 @@ def q_report_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return report_requests(materialize(_results(spark, sf)), SUBJECT)
 
 
+def q_search_report(spark: SparkSession, sf: str) -> DataFrame:
+    return search_report(materialize(_results(spark, sf)), KEYWORD, SUBJECT)
+
+
 # --- collection ---------------------------------------------------------
 
 
@@ -586,6 +595,21 @@ def _sql_inner(tag: str, attributes: str = "") -> str:
 _SECTIONS = "chr(10) || chr(10) || '格式要求：' || chr(10) || '一、主题分布' || chr(10) || '二、主题关联性分析' || chr(10) || '三、政策舆情分析与解读' || chr(10)"
 
 
+def _sql_requests(rows: str, group: str, order: str) -> str:
+    return f"""
+placed AS (
+  SELECT {group}, text, row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1 AS i FROM {rows} WHERE trim(text) <> ''),
+parts AS (
+  SELECT {group}, i // 100 + 1 AS part, count(*) AS n_comments, list(trim(text) ORDER BY i) AS c
+  FROM placed GROUP BY {group}, i // 100 + 1),
+prompts AS (
+  SELECT {group}, part, n_comments, chr(10) || '结合{SUBJECT}的具体政策条例辅助分析，针对以下用户评论，进行结构化主题分析：'
+    || chr(10) || '评论列表：' || chr(10) || CAST(to_json(c) AS VARCHAR) || {_SECTIONS} AS prompt FROM parts),
+requests AS (
+  SELECT *, '{{"model":"glm-4","messages":[{{"role":"user","content":' || CAST(to_json(prompt) AS VARCHAR)
+    || '}}],"temperature":0.7,"top_p":0.95,"max_tokens":1500}}' AS payload FROM prompts)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "clean_text": f"SELECT doc_id, {_sql_clean('text')} AS cleaned_content FROM documents",
@@ -666,17 +690,16 @@ def oracle_sql() -> dict[str, str]:
             b AS (SELECT (SELECT count(*) FROM a) + row_number() OVER (ORDER BY doc_id) AS id, doc_id, source
               FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l))
             SELECT * FROM a UNION ALL SELECT * FROM b""",
-        "report_prompts": f"""WITH {_RESULTS},
-            placed AS (SELECT dominant_topic, id, text, (row_number() OVER (PARTITION BY dominant_topic ORDER BY id) - 1) // 100 + 1 AS part
-              FROM results WHERE trim(text) <> ''),
-            g AS (SELECT dominant_topic, part, count(*) AS n_comments, list(trim(text) ORDER BY id) AS c
-              FROM placed GROUP BY dominant_topic, part),
-            p AS (SELECT dominant_topic, part, n_comments,
-              chr(10) || '结合{SUBJECT}的具体政策条例辅助分析，针对以下用户评论，进行结构化主题分析：' || chr(10) || '评论列表：' || chr(10)
-              || CAST(to_json(c) AS VARCHAR) || {_SECTIONS} AS prompt FROM g)
-            SELECT dominant_topic, part, n_comments, prompt,
-              '{{"model":"glm-4","messages":[{{"role":"user","content":' || CAST(to_json(prompt) AS VARCHAR)
-              || '}}],"temperature":0.7,"top_p":0.95,"max_tokens":1500}}' AS payload FROM p""",
+        "report_prompts": f"""WITH {_RESULTS}, {_sql_requests("results", "dominant_topic", "id")}
+            SELECT dominant_topic, part, n_comments, prompt, payload FROM requests""",
+        "search_report": f"""WITH {_RESULTS},
+            first_hit AS (SELECT dominant_topic FROM results WHERE {_sql_hit(KEYWORD)} ORDER BY id LIMIT 1),
+            listed AS (
+              SELECT '{KEYWORD}' AS keyword, 0 AS section, id, text FROM results WHERE {_sql_hit(KEYWORD)}
+              UNION ALL SELECT '{KEYWORD}', 1, id, text FROM results
+              WHERE dominant_topic = (SELECT dominant_topic FROM first_hit)),
+            {_sql_requests("listed", "keyword", "section, id")}
+            SELECT keyword, part, n_comments, prompt, payload FROM requests""",
         "html_articles": f"""SELECT page_id, {_sql_text(_sql_inner("title"), "")} AS title, 'N/A' AS time,
               coalesce({_sql_text(_sql_inner("div", ' class="ad"'), "")}, 'N/A') AS place,
               {_sql_text(_sql_inner("article"), "chr(10)")} AS content,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinionlens.operators.explore import same_topic, search
 from opinionlens.operators.scaling import bounded_join, with_position
 from opinionlens.session import materialize
 
@@ -43,27 +46,42 @@ def report_requests(
     subject: str,
     group: str = "dominant_topic",
     text: str = "text",
-    id_col: str = "id",
+    order: Sequence[str] = ("id",),
     per_request: int = 100,
     model: str = MODEL,
 ) -> DataFrame:
     """(group, part, n_comments, prompt, payload): request rows to send.
 
-    Every non-blank comment of a group appears in exactly one part. Parts
-    come from global positions, so a group with a third of all comments is
-    cut up without ever passing through one task.
+    Every non-blank comment of a group appears in exactly one part, in
+    ``order``, which must be unique within the group. Parts come from global
+    positions, so a group with a third of all comments is cut up without ever
+    passing through one task.
     """
-    rows = comments.select(group, id_col, text).filter(
+    order = list(order)
+    rows = comments.select(group, *order, text).filter(
         F.col(group).isNotNull() & (F.trim(F.coalesce(F.col(text), F.lit(""))) != "")
     )
-    placed = with_position(rows, [group, id_col], "position")
+    placed = with_position(rows, [group, *order], "position")
     starts = materialize(placed.groupBy(group).agg(F.min("position").alias("start")))
     part = F.floor((F.col("position") - F.col("start")) / per_request).cast("bigint") + 1
-    parts = bounded_join(placed, starts, group, id_col).withColumn("part", part)
-    listed = F.sort_array(F.collect_list(F.struct(id_col, F.trim(text).alias("text"))))
+    parts = bounded_join(placed, starts, group, order[-1]).withColumn("part", part)
+    listed = F.sort_array(F.collect_list(F.struct("position", F.trim(text).alias("text"))))
     grouped = parts.groupBy(group, "part").agg(F.count("*").alias("n_comments"), listed.alias("c"))
     return (
         grouped.withColumn("prompt", prompt_text(F.col("c.text"), subject))
         .withColumn("payload", payload_json(F.col("prompt"), model))
         .select(group, "part", "n_comments", "prompt", "payload")
     )
+
+
+def search_report(
+    results: DataFrame, keyword: str, subject: str, id_col: str = "id", literal: bool = False, per_request: int = 100
+) -> DataFrame:
+    """Requests for one search: the hits, then all comments of their topic.
+
+    A hit is listed in both sections, as on the result page it stands for.
+    """
+    hits = search(results, keyword, literal).select(F.lit(0).alias("section"), id_col, "text")
+    others = same_topic(results, keyword, id_col, literal).select(F.lit(1).alias("section"), id_col, "text")
+    rows = hits.union(others).withColumn("keyword", F.lit(keyword.strip()))
+    return report_requests(rows, subject, "keyword", "text", ["section", id_col], per_request)

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from opinionlens.operators.scaling import bounded_join
+from opinionlens.session import materialize
+
 
 def post_comment_pairs(
     posts: DataFrame,
@@ -27,7 +30,12 @@ def post_comment_pairs(
     if max_comments is not None:
         rank = F.row_number().over(W.partitionBy(post_id).orderBy(position))
         comments = comments.withColumn("__rank", rank).filter(F.col("__rank") <= max_comments).drop("__rank")
-    return posts.join(comments, post_id).select(post_id, "post_text", position, "comment")
+        pairs = posts.join(comments, post_id)
+    else:
+        # Without a cap one post may hold a large share of all comments.
+        pairs = bounded_join(comments, materialize(posts.withColumn("__found", F.lit(True))), post_id, position)
+        pairs = pairs.filter(F.col("__found"))
+    return pairs.select(post_id, "post_text", position, "comment")
 
 
 def cap_per_source(

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from opinionlens.operators.explore import hot_keywords, overview, same_topic, search, search_summary
-from opinionlens.operators.report import report_requests
+from opinionlens.operators.report import report_requests, search_report
 
 SCHEMA = "id int, cut_content string, text string, keyword1 string, keyword2 string, keyword3 string, dominant_topic int, sentiment_label string"
 ROWS = [
@@ -72,3 +72,11 @@ def test_report_parts_hold_every_comment_once(spark):
         seen[r["dominant_topic"]] += texts
     for topic in (0, 1):
         assert seen[topic] == [t.strip() for i, t, g, _ in rows if g == topic and t]
+
+
+def test_search_report_lists_hits_then_topic(results):
+    rows = search_report(results, "abc", "reform").collect()
+    assert len(rows) == 1 and rows[0]["keyword"] == "abc"
+    line = next(x for x in rows[0]["prompt"].split("\n") if x.startswith("["))
+    assert json.loads(line) == ["ABC x", "ABC x", "back\\slash"]
+    assert search_report(results, "nothing", "reform").count() == 0

@@ -51,10 +51,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
     This cuts the lineage, survives lost executors, and tells Catalyst the
     true size of the data, so that joins with it are broadcast only when the
-    files really are under ``spark.sql.autoBroadcastJoinThreshold``.
+    files really are under ``spark.sql.autoBroadcastJoinThreshold``. All stages
+    of an application share one folder, which can be removed when it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark).rstrip('/')}/opinionlens-{app}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -574,7 +574,11 @@ weights AS (
   SELECT word, pos_cnt, neg_cnt,
     ln((pos_cnt + 1)::DOUBLE / p) - ln((neg_cnt + 1)::DOUBLE / n) AS weight FROM counts, tot)"""
 
-_ENTITIES = "replace(replace(replace(replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+# An HTML reader takes "&amp" without its semicolon too.
+_ENTITIES = (
+    "regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'),"
+    " '&quot;', '\"'), '&apos;', ''''), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
+)
 _MARKUP = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|</?[a-z][^>]*>|<![^>]*>"
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -461,8 +463,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_opinion_by_topic(spark, "/root/testdata/sf0.001")
 
 
+def _corpus_part(name: str):
+    """A module of the corpus operators, or None where it was taken out."""
+    top, _, rest = name.partition(".")
+    package = f"{top}.{rest.split('.')[0]}" if rest else top
+    return importlib.import_module(name) if importlib.util.find_spec(package) else None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    found = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    if corpus := _corpus_part("opinionlens.llm.queries"):
+        found |= corpus.QUERIES
+    if pipeline := _corpus_part("corpus_pipeline"):
+        found["pipeline"] = pipeline.run
+    return found
 
 
 # --- SQL twins ----------------------------------------------------------
@@ -615,6 +629,15 @@ requests AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_sql()
+    if corpus := _corpus_part("opinionlens.llm.queries"):
+        found |= corpus.ORACLES
+    if (pipeline := _corpus_part("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
+def _own_sql() -> dict[str, str]:
     return {
         "clean_text": f"SELECT doc_id, {_sql_clean('text')} AS cleaned_content FROM documents",
         "tokens": f"""WITH tok AS ({_sql_tokens("documents", "doc_id")})

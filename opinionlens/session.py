@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -26,24 +29,21 @@ def local_session(cores: str | int = "*", app: str = "opinionlens") -> SparkSess
     )
 
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A machine-local folder is made up only where the setting is missing and
-    the session is a single machine.
+    Only a session of a single JVM may leave the setting out: it gets a folder
+    of its own, removed when the driver's Python ends, and keeps it in that setting.
     """
     path = spark.conf.get(CHECKPOINT_KEY, None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="opinionlens-")
-    return _LOCAL_DIRS[app]
+    path = tempfile.mkdtemp(prefix="opinionlens-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    spark.conf.set(CHECKPOINT_KEY, path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:

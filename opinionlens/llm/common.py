@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 #: Bytes of text that numpy works on at once in a Python worker.
 SLICE_BYTES = 2 << 20
@@ -55,3 +56,8 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
 def crc_remainder(key: Column, divisor: int) -> Column:
     """crc32 of the key as text, modulo ``divisor``; null stays null."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(divisor))
+
+
+def with_fields(schema: StructType, **kinds: str) -> StructType:
+    """``schema`` with more fields, whose types are given as in SQL."""
+    return StructType([*schema.fields, *(StructField(n, _parse_datatype_string(k)) for n, k in kinds.items())])

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from opinionlens.llm import q_quality
+from opinionlens.llm import q_bpe, q_packing, q_quality, q_urls
 
 QUERIES = {
     "op1_quality_rules": q_quality.op1_quality_rules,
+    "op2_url_filter": q_urls.op2_url_filter,
+    "op5_piece_encoding": q_bpe.op5_piece_encoding,
+    "op10_packing": q_packing.op10_packing,
 }
 
 ORACLES = {
     "op1_quality_rules": q_quality.ORACLE,
+    "op2_url_filter": q_urls.ORACLE,
 }

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from opinionlens.llm import q_bpe, q_packing, q_quality, q_urls
+from opinionlens.llm import q_bpe, q_jaccard, q_langid, q_packing, q_quality, q_spans, q_urls
 
 QUERIES = {
     "op1_quality_rules": q_quality.op1_quality_rules,
     "op2_url_filter": q_urls.op2_url_filter,
+    "op3_language_id": q_langid.op3_language_id,
+    "op4_jaccard_join": q_jaccard.op4_jaccard_join,
     "op5_piece_encoding": q_bpe.op5_piece_encoding,
+    "op7_sentence_spans": q_spans.op7_sentence_spans,
     "op10_packing": q_packing.op10_packing,
 }
 
 ORACLES = {
     "op1_quality_rules": q_quality.ORACLE,
     "op2_url_filter": q_urls.ORACLE,
+    "op4_jaccard_join": q_jaccard.ORACLE,
 }

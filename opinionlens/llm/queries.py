@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinionlens.llm import q_bpe, q_jaccard, q_langid, q_packing, q_quality, q_spans, q_urls
+from opinionlens.llm import q_bpe, q_jaccard, q_kneser_ney, q_langid, q_packing, q_quality, q_spans, q_urls
 
 QUERIES = {
     "op1_quality_rules": q_quality.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_id": q_langid.op3_language_id,
     "op4_jaccard_join": q_jaccard.op4_jaccard_join,
     "op5_piece_encoding": q_bpe.op5_piece_encoding,
+    "op6_kneser_ney": q_kneser_ney.op6_kneser_ney,
     "op7_sentence_spans": q_spans.op7_sentence_spans,
     "op10_packing": q_packing.op10_packing,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinionlens.llm import q_bpe, q_jaccard, q_kneser_ney, q_langid, q_packing, q_quality, q_spans, q_urls
+from opinionlens.llm import q_bpe, q_jaccard, q_kneser_ney, q_langid, q_neighbours, q_packing, q_quality, q_spans, q_urls
 
 QUERIES = {
     "op1_quality_rules": q_quality.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_piece_encoding": q_bpe.op5_piece_encoding,
     "op6_kneser_ney": q_kneser_ney.op6_kneser_ney,
     "op7_sentence_spans": q_spans.op7_sentence_spans,
+    "op8_nearest_neighbours": q_neighbours.op8_nearest_neighbours,
     "op10_packing": q_packing.op10_packing,
 }
 

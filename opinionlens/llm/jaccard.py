@@ -377,6 +377,15 @@ def similar_classes(docs: DataFrame, member: DataFrame, join: SetJoin, text: str
     return components(answers.filter("linked"))
 
 
+def _rooted(docs: DataFrame, join: SetJoin, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(__id, __key, n, cls) of every distinct document, and (cls, root) of every class."""
+    keyed = docs.select(F.col(doc_id).alias("__id"), document_key(doc_id, text).alias("__key"), F.col(text).alias("__text"))
+    member = materialize(memberships(keyed, join, "__text").distinct())
+    linked = similar_classes(keyed, member, join, "__text", "__key")
+    classes = member.filter("cls <> 0").select("cls").distinct().join(linked, "cls", "left")
+    return member, materialize(classes.select("cls", F.coalesce("root", "cls").alias("root")))
+
+
 def jaccard_components(docs: DataFrame, join: SetJoin | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: its other columns but the text, ``n_shingles`` and ``component_id``.
 
@@ -388,11 +397,8 @@ def jaccard_components(docs: DataFrame, join: SetJoin | None = None, doc_id: str
     two leading underscores are the operator's own.
     """
     join = join or SetJoin()
-    keyed = docs.select(F.col(doc_id).alias("__id"), document_key(doc_id, text).alias("__key"), F.col(text).alias("__text"))
-    member = materialize(memberships(keyed, join, "__text").distinct())
-    linked = similar_classes(keyed, member, join, "__text", "__key")
-    ids = member.filter("cls <> 0").groupBy("cls").agg(F.min("__id").alias("__least"))
-    rooted = ids.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    member, roots = _rooted(docs, join, doc_id, text)
+    rooted = member.filter("cls <> 0").groupBy("cls").agg(F.min("__id").alias("__least")).join(roots, "cls")
     least = rooted.groupBy("root").agg(F.min("__least").alias("component_id"))
     by_class = rooted.join(least, "root").select("cls", "component_id")
     own = member.join(by_class, "cls", "left").select(
@@ -402,3 +408,21 @@ def jaccard_components(docs: DataFrame, join: SetJoin | None = None, doc_id: str
     rows = docs.withColumn("__key", document_key(doc_id, text)).drop(*[c for c in docs.columns if c not in names and c != text])
     kept = rows.select(*[c for c in names if c != text], "__key").join(own, "__key", "left")
     return kept.withColumnsRenamed({"__n": "n_shingles", "__component": "component_id"}).drop("__key")
+
+
+def keep_one_of_each(docs: DataFrame, join: SetJoin | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the smallest ``doc_id`` stays.
+
+    Documents without an id come last. Rows equal in id and text are one
+    document, of which one row stays; documents without words all stay.
+    """
+    member, roots = _rooted(docs, join or SetJoin(), doc_id, text)
+    place = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__key").alias("key"))
+    least = member.join(roots, "cls").groupBy("root").agg(F.min(place).alias("least")).select("root", F.col("least.key").alias("least"))
+    gone = materialize(member.join(roots, "cls").join(least, "root").filter("__key <> least").select("__key"))
+    keyed = docs.withColumn("__key", document_key(doc_id, text))
+    kept = keyed.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_ROWS else gone, "__key", "left_anti")
+    repeated = keyed.select("__key").groupBy("__key").agg(F.count("*").alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates(["__key"])
+    return kept.drop("__key")

@@ -1,0 +1,52 @@
+"""Exact encoding and decoding against the sentencepiece library."""
+
+import random
+
+import numpy as np
+import pytest
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+import sentencepiece  # noqa: E402
+
+from opinionlens.llm.bpe import PieceEncoder, encode_texts  # noqa: E402
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def own():
+    return PieceEncoder(MODEL)
+
+
+def test_random_texts(own, library):
+    r = random.Random(11)
+    letters = "aabcdeeeiilmnnoprssttu  \n\t.,'éüß中文日本🙂▁ \x00<>0123ABC"
+    words = ["the", "tion", "inter", "nation", " ", "  ", "ing", "<s>", "<0x0A>", "\u2003", "ﬁ"]
+    for _ in range(6000):
+        text = "".join(r.choice(letters) if r.random() < 0.7 else r.choice(words) for _ in range(r.randrange(0, 30)))
+        ids = np.frombuffer(own.encode(text), "<u4")
+        assert ids.tolist() == library.encode(text), repr(text)
+        assert own.decode(ids) == library.decode(ids.tolist()), repr(text)
+
+
+def test_decoding_of_any_ids(own, library):
+    r = random.Random(12)
+    for _ in range(3000):
+        ids = [r.randrange(0, 700) for _ in range(r.randrange(0, 8))]
+        assert own.decode(np.asarray(ids, "<u4")) == library.decode(ids), ids
+
+
+def test_texts_of_a_table(spark, library):
+    rows = [(1, "Hello  world", 3), (1, "Hello  world", 3), (2, None, 4), (None, "", 5), (3, "ab " * 100_000, 6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int")
+    got = encode_texts(df, MODEL).collect()
+    assert len(got) == 5
+    for row in got:
+        expect = [1, *library.encode(row.text or ""), 2]
+        assert row.ids == expect and row.n_tokens == len(expect) and row.decoded == library.decode(expect)
+    assert encode_texts(df.limit(0), MODEL).collect() == []

@@ -6,10 +6,12 @@ import importlib
 import importlib.util
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -38,6 +40,10 @@ KEYWORD = "Tion"
 ABSENT_KEYWORD = "no such words here"
 SUBJECT = "health care reform"
 STOP_SHARE = 0.05
+# All 64 components in four blocks: a vector's weight in each of four topics.
+TOPIC_BLOCKS = [range(16 * b + 1, 16 * b + 17) for b in range(4)]
+# Three runs deal all components out to ten classes in different ways.
+RUNS = [[[i for i in range(1, 65) if i * m % 10 == c] for c in range(10)] for m in (1, 3, 7)]
 LANGS = ("en", "fr", "de", "es")
 
 PAGE_SELECTORS = html_pages.ArticleSelectors(
@@ -86,9 +92,14 @@ def _scored_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _sum_of(places: Sequence[int]) -> Column:
+    """Sum of the vector's components at 1-based places, in this order."""
+    return reduce(add, [F.get("embedding", F.lit(i - 1)).cast("double") for i in places])
+
+
 def _topic_of_vector(spark: SparkSession, sf: str) -> DataFrame:
-    weights = F.slice("embedding", 1, 4)
-    return _read(spark, sf, "embeddings").select("vec_id", dominant_index(weights).alias("dominant_topic"))
+    vectors = _read(spark, sf, "embeddings").withColumn("weights", F.array(*[_sum_of(b) for b in TOPIC_BLOCKS]))
+    return vectors.select("vec_id", dominant_index("weights").alias("dominant_topic"), F.array_max("weights").alias("top"))
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,21 +113,28 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
         "keyword1",
         "keyword2",
         "keyword3",
+        F.col("tokens").alias("processed_content"),
     )
-    topics = _topic_of_vector(spark, sf).withColumnRenamed("vec_id", "id")
+    topics = _topic_of_vector(spark, sf).withColumnRenamed("vec_id", "id")  # documents beyond the vectors have no topic
     scores = _scored_events(spark, sf).select("id", "sentiment_score")
     return (
         base.join(topics, "id", "left")
         .join(scores, "id", "left")
         .select(
             *base.columns,
-            F.coalesce("dominant_topic", F.lit(0)).alias("dominant_topic"),
+            "dominant_topic",
+            F.round("top", 6).alias("similarity_score"),
             F.round("sentiment_score", 6).alias("sentiment_score"),
             sentiment_label(F.round("sentiment_score", 6)).alias("sentiment_label"),
         )
     )
 
 
+def _listed(results: DataFrame) -> DataFrame:
+    """Tokens as text, and -1 for a missing topic: forms that every client shows alike."""
+    return results.withColumn("processed_content", join_tokens("processed_content", " ")).na.fill(-1, ["dominant_topic"])
+
+
 # --- text ---------------------------------------------------------------
 
 
@@ -248,7 +266,7 @@ def q_topic_cloud_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dominant_topic(spark: SparkSession, sf: str) -> DataFrame:
-    return _topic_of_vector(spark, sf)
+    return _topic_of_vector(spark, sf).drop("top")
 
 
 # --- sentiment ----------------------------------------------------------
@@ -310,7 +328,7 @@ def q_overview_comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_search(spark: SparkSession, sf: str) -> DataFrame:
-    return explore.search(_results(spark, sf), KEYWORD)
+    return _listed(explore.search(_results(spark, sf), KEYWORD))
 
 
 def q_search_same_topic(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,7 +344,7 @@ def q_search_summary_empty(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_table_preview(spark: SparkSession, sf: str) -> DataFrame:
-    return store.preview(_results(spark, sf), 5)
+    return _listed(store.preview(_results(spark, sf), 5))
 
 
 def q_store_append(spark: SparkSession, sf: str) -> DataFrame:
@@ -339,7 +357,7 @@ def q_store_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_report_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    return report_requests(materialize(_results(spark, sf)), SUBJECT)
+    return report_requests(materialize(_results(spark, sf).na.fill(-1, ["dominant_topic"])), SUBJECT)
 
 
 def q_search_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -407,11 +425,11 @@ def q_train_test_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Three runs: each guesses the class by its own ten vector components."""
+    """Three runs: each guesses the class by the sums of its own groups of vector components."""
     vectors = _read(spark, sf, "embeddings")
     guesses = [
-        F.struct(F.lit(r + 1).alias("run"), dominant_index(F.slice("embedding", 10 * r + 1, 10)).alias("prediction"))
-        for r in range(3)
+        F.struct(F.lit(r).alias("run"), dominant_index(F.array(*map(_sum_of, groups))).alias("prediction"))
+        for r, groups in enumerate(RUNS, 1)
     ]
     return vectors.select("vec_id", "label", F.explode(F.array(*guesses)).alias("g")).select("vec_id", "label", "g.*")
 
@@ -521,11 +539,18 @@ triples AS (
   FROM ranked WHERE rk <= 3 GROUP BY doc_id)"""
 
 
-def _sql_argmax(start: int, n: int) -> str:
-    part = f"list_slice(embedding, {start}, {start + n - 1})"
+def _sql_weights(groups: Sequence[Sequence[int]]) -> str:
+    return "[" + ", ".join(" + ".join(f"embedding[{i}]::DOUBLE" for i in g) for g in groups) + "]"
+
+
+def _sql_argmax(part: str) -> str:
     return f"CAST(coalesce(list_position({part}, list_max({part})) - 1, 0) AS INTEGER)"
 
 
+_TOPICS = f"""(SELECT vec_id, {_sql_argmax("w")} AS dominant_topic, list_max(w) AS top
+  FROM (SELECT vec_id, {_sql_weights(TOPIC_BLOCKS)} AS w FROM embeddings))"""
+
+
 def _sql_label(score: str) -> str:
     return f"CASE WHEN {score} >= 0.6 THEN 'Positive' WHEN {score} <= 0.4 THEN 'Negative' ELSE 'Neutral' END"
 
@@ -533,13 +558,17 @@ def _sql_label(score: str) -> str:
 _RESULTS = f"""{_WORDS}, {_TRIPLES},
 results AS (
   SELECT tok.doc_id AS id, array_to_string(tokens, ' ') AS cut_content, array_to_string(tokens, ' ') AS text,
-    keyword1, keyword2, keyword3, coalesce(t.dominant_topic, 0) AS dominant_topic,
+    keyword1, keyword2, keyword3,
+    array_to_string(tokens, ' ') AS processed_content, t.dominant_topic, round(t.top, 6) AS similarity_score,
     round(s.score, 6) AS sentiment_score, {_sql_label("round(s.score, 6)")} AS sentiment_label
   FROM tok LEFT JOIN triples USING (doc_id)
-  LEFT JOIN (SELECT vec_id, {_sql_argmax(1, 4)} AS dominant_topic FROM embeddings) t ON t.vec_id = tok.doc_id
+  LEFT JOIN {_TOPICS} t ON t.vec_id = tok.doc_id
   LEFT JOIN (SELECT event_id, value - floor(value) AS score FROM events) s ON s.event_id = tok.doc_id)"""
 
 
+_LISTED = "listed_results AS (SELECT * REPLACE (coalesce(dominant_topic, -1) AS dominant_topic) FROM results)"
+
+
 def _sql_fold(col: str) -> str:
     return f"translate({col}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -668,7 +697,7 @@ def _own_sql() -> dict[str, str]:
             SELECT doc_id, max(CASE WHEN rank = 1 THEN keyword END) AS keyword1,
               max(CASE WHEN rank = 2 THEN keyword END) AS keyword2, max(CASE WHEN rank = 3 THEN keyword END) AS keyword3,
               max(CASE WHEN rank = 1 THEN similarity END) AS similarity_score FROM top GROUP BY doc_id""",
-        "dominant_topic": f"SELECT vec_id, {_sql_argmax(1, 4)} AS dominant_topic FROM embeddings",
+        "dominant_topic": f"SELECT vec_id, dominant_topic FROM {_TOPICS}",
         "sentiment_label": f"""WITH {_EVENTS}
             SELECT id, {_sql_label("round(sentiment_score, 6)")} AS sentiment_label FROM ev""",
         "sentiment_by_topic": f"""WITH {_EVENTS},
@@ -703,21 +732,21 @@ def _own_sql() -> dict[str, str]:
             SELECT keyword, count(*) AS count FROM u GROUP BY keyword
             ORDER BY count DESC, keyword ASC NULLS LAST LIMIT 20""",
         "overview_comments": f"WITH {_RESULTS} SELECT id, cut_content FROM results ORDER BY id LIMIT 10",
-        "search": f"WITH {_RESULTS} SELECT * FROM results WHERE {_sql_hit(KEYWORD)}",
+        "search": f"WITH {_RESULTS}, {_LISTED} SELECT {', '.join(explore.RESULT_COLUMNS)} FROM listed_results WHERE {_sql_hit(KEYWORD)}",
         "search_same_topic": f"""WITH {_RESULTS},
             first_hit AS (SELECT dominant_topic FROM results WHERE {_sql_hit(KEYWORD)} ORDER BY id LIMIT 1)
             SELECT id, text, dominant_topic, sentiment_label FROM results
             WHERE dominant_topic = (SELECT dominant_topic FROM first_hit)""",
         "search_summary": _sql_summary(KEYWORD),
         "search_summary_empty": _sql_summary(ABSENT_KEYWORD),
-        "table_preview": f"WITH {_RESULTS} SELECT * FROM results ORDER BY id LIMIT 5",
+        "table_preview": f"WITH {_RESULTS}, {_LISTED} SELECT * FROM listed_results ORDER BY id LIMIT 5",
         "store_append": """WITH l AS (SELECT doc_id FROM labels),
             a AS (SELECT row_number() OVER (ORDER BY doc_id) AS id, doc_id, source FROM documents
               WHERE doc_id IN (SELECT doc_id FROM l)),
             b AS (SELECT (SELECT count(*) FROM a) + row_number() OVER (ORDER BY doc_id) AS id, doc_id, source
               FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l))
             SELECT * FROM a UNION ALL SELECT * FROM b""",
-        "report_prompts": f"""WITH {_RESULTS}, {_sql_requests("results", "dominant_topic", "id")}
+        "report_prompts": f"""WITH {_RESULTS}, {_LISTED}, {_sql_requests("listed_results", "dominant_topic", "id")}
             SELECT dominant_topic, part, n_comments, prompt, payload FROM requests""",
         "search_report": f"""WITH {_RESULTS},
             first_hit AS (SELECT dominant_topic FROM results WHERE {_sql_hit(KEYWORD)} ORDER BY id LIMIT 1),
@@ -771,6 +800,8 @@ def _sql_names(class_id: str) -> str:
 
 def _sql_runs() -> str:
     runs = " UNION ALL ".join(
-        f"SELECT vec_id, label, {r + 1} AS run, {_sql_argmax(10 * r + 1, 10)} AS prediction FROM embeddings" for r in range(3)
+        f"SELECT vec_id, label, {r} AS run, {_sql_argmax('w')} AS prediction"
+        f" FROM (SELECT vec_id, label, {_sql_weights(groups)} AS w FROM embeddings)"
+        for r, groups in enumerate(RUNS, 1)
     )
     return f"pred AS ({runs})"

@@ -34,7 +34,7 @@ def tokenize(cleaned: Column | str) -> Column:
 
 
 def drop_words(tokens: Column | str, words: Sequence[str], drop_blank: bool = False) -> Column:
-    """Tokens outside ``words``: exact match, order and repeats kept.
+    """Tokens outside ``words``: exact match, order and repeats kept, null tokens left out.
 
     ``isin`` over literals becomes one hash-set lookup per token.
     """
@@ -42,7 +42,7 @@ def drop_words(tokens: Column | str, words: Sequence[str], drop_blank: bool = Fa
     words = list(words)
 
     def keep(t: Column) -> Column:
-        out = ~t.isin(words) if words else F.lit(True)
+        out = t.isNotNull() & ~t.isin(words) if words else t.isNotNull()
         return out & (F.trim(t) != "") if drop_blank else out
 
     return F.filter(F.coalesce(c, F.expr(NO_TOKENS)), keep)

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinionlens.functions.text import truncate_tokens
+from opinionlens.functions.text import NO_TOKENS, truncate_tokens
 
 # Fixed label order; a label's id is its place in the list.
 EMOTIONS = ("sad", "fear", "disgust", "surprise", "angry", "neutral", "joy", "positive")
@@ -54,17 +54,27 @@ def train_test_split(df: DataFrame, doc_id: str = "doc_id", fraction: float = 0.
     return df.filter(~is_test_row(doc_id, fraction)), df.filter(is_test_row(doc_id, fraction))
 
 
+def _words(tokens: str, max_length: int | None) -> Column:
+    given = F.coalesce(F.col(tokens), F.expr(NO_TOKENS))
+    return given if max_length is None else truncate_tokens(given, max_length)
+
+
 def fit_emotion(
     train: DataFrame,
     tokens: str = "tokens",
     label_id: str = "label_id",
-    max_length: int = 128,
-    features: int = 1 << 16,
+    max_length: int | None = None,
+    features: int = 1 << 20,
     max_iter: int = 20,
     decay: float = 0.01,
 ) -> PipelineModel:
-    """Multinomial logistic regression on hashed token counts."""
-    ready = train.select(truncate_tokens(tokens, max_length).alias("words"), F.col(label_id).cast("double").alias("y"))
+    """Multinomial logistic regression on hashed token counts of the whole text.
+
+    ``max_length`` reads only so many tokens, for comparison with encoders
+    that can take no more. Words share one of ``features`` buckets by chance;
+    for vocabularies of that size and above, give more.
+    """
+    ready = train.select(_words(tokens, max_length).alias("words"), F.col(label_id).cast("double").alias("y"))
     stages = [
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
         LogisticRegression(
@@ -78,12 +88,12 @@ def predict_emotion(
     model: PipelineModel,
     df: DataFrame,
     tokens: str = "tokens",
-    max_length: int = 128,
+    max_length: int | None = None,
     labels: Sequence[str] = EMOTIONS,
 ) -> DataFrame:
     """Add prediction_id, predicted_label and probability; row-local."""
     given = df.columns
-    scored = model.transform(df.withColumn("words", truncate_tokens(tokens, max_length)))
+    scored = model.transform(df.withColumn("words", _words(tokens, max_length)))
     out = scored.select(
         *given,
         F.col("prediction").cast("int").alias("prediction_id"),

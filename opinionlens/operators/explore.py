@@ -11,6 +11,7 @@ from opinionlens.functions.matching import contains_keyword
 
 KEYWORD_COLUMNS = ("keyword1", "keyword2", "keyword3")
 
+# Fixed columns of a search result.
 RESULT_COLUMNS = (
     "cut_content",
     "text",
@@ -64,7 +65,17 @@ def search(
     literal: bool = False,
     columns: Sequence[str] = ("text", *KEYWORD_COLUMNS),
 ) -> DataFrame:
-    """Rows whose text or any keyword contains the keyword; a pure filter."""
+    """The ten result columns of rows whose text or any keyword contains the keyword; a pure filter."""
+    return hits(results, keyword, literal, columns).select(*RESULT_COLUMNS)
+
+
+def hits(
+    results: DataFrame,
+    keyword: str,
+    literal: bool = False,
+    columns: Sequence[str] = ("text", *KEYWORD_COLUMNS),
+) -> DataFrame:
+    """All columns of the rows that a search finds."""
     return results.filter(contains_keyword(columns, keyword, literal))
 
 
@@ -80,7 +91,7 @@ def same_topic(
     The first hit is one row by construction, so its broadcast is bounded;
     on a table partitioned by topic it also prunes the other partitions.
     """
-    first = search(results, keyword, literal).agg(F.min_by("dominant_topic", id_col).alias("dominant_topic"))
+    first = hits(results, keyword, literal).agg(F.min_by("dominant_topic", id_col).alias("dominant_topic"))
     out = results
     if exclude_hits:
         hit = contains_keyword(("text", *KEYWORD_COLUMNS), keyword, literal)
@@ -101,7 +112,7 @@ def _fill(template: str, **values: Column) -> Column:
 def search_summary(results: DataFrame, keyword: str, literal: bool = False) -> DataFrame:
     """One row of counts by label and the sentence that reports them."""
     label = F.col("sentiment_label")
-    counts = search(results, keyword, literal).agg(
+    counts = hits(results, keyword, literal).agg(
         F.count("*").alias("total_comments"),
         F.count_if(label == "Positive").alias("positive"),
         F.count_if(label == "Neutral").alias("neutral"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinionlens.functions.text import frequent_words, with_once, word_counts
+from opinionlens.operators.features import vocabulary
+from opinionlens.operators.scaling import ROW, with_row
+from opinionlens.session import materialize
 
-# The word matrix is broadcast only up to this size; see `cosine_topk`.
+# Words are broadcast in blocks of this size; see `cosine_topk`.
 MAX_MATRIX_BYTES = 256 << 20
 # Rows of the text side handled together inside a task.
 BLOCK_ROWS = 2048
@@ -63,13 +67,19 @@ def _best(sims: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _topk_table(ids: pa.Array, texts: np.ndarray, names: np.ndarray, words: np.ndarray, k: int, id_type) -> pa.Table:
     """Top-k words of a block of texts; ``names`` must be in ascending order."""
-    rows = []
+    flat, values, sizes = [], [], []
     step = max(1, min(BLOCK_ROWS, (64 << 20) // (8 * max(1, len(names)))))
     for at in range(0, len(texts), step):
         for cols, vals in _best(texts[at : at + step] @ words.T, k):
-            rows.append([{"keyword": names[c], "similarity": float(v)} for c, v in zip(cols, vals)])
-    kw_type = pa.list_(pa.struct([("keyword", pa.string()), ("similarity", pa.float64())]))
-    return pa.table({"id": ids.cast(id_type), "keywords": pa.array(rows, kw_type)})
+            flat.append(cols)
+            values.append(vals)
+            sizes.append(len(cols))
+    cols, vals = (np.concatenate(x) if x else np.empty(0) for x in (flat, values))
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(names[cols.astype(int)], pa.string()), pa.array(vals, pa.float64())], names=["keyword", "similarity"]
+    )
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pairs)
+    return pa.table({"id": ids.cast(id_type), "keywords": lists})
 
 
 def cosine_topk(
@@ -84,32 +94,34 @@ def cosine_topk(
 ) -> DataFrame:
     """(id, keywords): the k words most similar to each text, best first.
 
-    Every word is a candidate for every text, so the work is a matrix
-    product; only k words per text ever leave a block. Up to
-    ``max_matrix_bytes`` the word matrix is broadcast and texts never move.
-    Beyond that, texts and words are cut into hash-balanced blocks of bounded
-    size, each pair of blocks is one task, and the partial top-k lists are
-    merged per text. Ids must be unique. Similarities carry six decimals;
-    equal ones are ordered by word.
+    Every word is a candidate for every text, so the work is a matrix product;
+    only k words per text ever leave a block. Words are broadcast in blocks of
+    at most about ``max_matrix_bytes``, names included; texts never move, and
+    with several blocks their lists are merged row by row. Each row of ``texts``
+    gets a list of its own, whatever its id. A missing or zero text vector has an
+    empty one; words with such a vector are no candidates. Similarities carry
+    six decimals; equal ones are ordered by word.
     """
     words = words.select(F.col(word).cast("string").alias("word"), F.col(word_vector).cast("array<double>").alias("v"))
-    words = words.filter(F.col("v").isNotNull())
+    words = words.filter(F.col("word").isNotNull() & F.exists("v", lambda x: x != 0))
     texts = texts.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    n_words, dim = words.agg(F.count("*"), F.max(F.size("v"))).first()
-    id_type = texts.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, keywords {_KEYWORDS}"
-    known = texts.filter(F.col("v").isNotNull())
+    size = F.sum(8 * F.size("v") + F.octet_length("word") + 64)
+    n_words, dim, n_bytes = words.agg(F.count("*"), F.max(F.size("v")), size).first()
+    schema = f"id {texts.schema['id'].dataType.simpleString()}, keywords {_KEYWORDS}"
+    none = F.expr(f"cast(array() as {_KEYWORDS})")
     if not n_words:
-        return texts.select(F.col("id").alias(id_col), F.expr(f"cast(array() as {_KEYWORDS})").alias("keywords"))
-    if n_words * dim * 8 <= max_matrix_bytes:
-        out = _broadcast_topk(known, words, k, dim, schema)
+        return texts.select(F.col("id").alias(id_col), none.alias("keywords"))
+    known = F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
+    n_blocks = math.ceil(n_bytes / max_matrix_bytes)
+    if n_blocks == 1:
+        out = _block_topk(texts.filter(known), words, k, dim, schema)
     else:
-        out = _grid_topk(known, words, n_words, k, dim, schema, max_matrix_bytes)
-    empty = texts.filter(F.col("v").isNull()).select("id", F.expr(f"cast(array() as {_KEYWORDS})").alias("keywords"))
-    return out.union(empty).withColumnRenamed("id", id_col)
+        out = _blocks_topk(with_row(texts.filter(known)), words, n_blocks, k, dim)
+    return out.union(texts.filter(~known).select("id", none.alias("keywords"))).withColumnRenamed("id", id_col)
 
 
-def _broadcast_topk(texts: DataFrame, words: DataFrame, k: int, dim: int, schema: str) -> DataFrame:
+def _block_topk(texts: DataFrame, words: DataFrame, k: int, dim: int, schema: str) -> DataFrame:
+    """Top-k lists of every text among one block of words."""
     table = words.toArrow().sort_by("word")
     names = table["word"].combine_chunks().to_numpy(zero_copy_only=False)
     shared = texts.sparkSession.sparkContext.broadcast((names, _matrix(table["v"].combine_chunks(), dim)))
@@ -125,37 +137,18 @@ def _broadcast_topk(texts: DataFrame, words: DataFrame, k: int, dim: int, schema
     return texts.mapInArrow(run, schema)
 
 
-def _grid_topk(
-    texts: DataFrame, words: DataFrame, n_words: int, k: int, dim: int, schema: str, max_bytes: int
-) -> DataFrame:
-    rows_per_block = max(1, max_bytes // (8 * dim))
-    n_cols = math.ceil(n_words / rows_per_block)
-    n_rows = max(1, math.ceil(texts.count() / rows_per_block))
-
-    def block(key: str, n: int):
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    left = texts.withColumn("r", block("id", n_rows)).withColumn(
-        "c", F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1)))
-    )
-    right = words.withColumn("c", block("word", n_cols)).withColumn(
-        "r", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1)))
-    )
-
-    def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        b = b.sort_by("word")
-        ids = a["id"].combine_chunks()
-        names = b["word"].combine_chunks().to_numpy(zero_copy_only=False)
-        rows = _matrix(a["v"].combine_chunks(), dim) if len(a) else np.empty((0, dim))
-        cols = _matrix(b["v"].combine_chunks(), dim) if len(b) else np.empty((0, dim))
-        return _topk_table(ids, rows, names, cols, k, ids.type)
-
-    parts = left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInArrow(run, schema)
-    # At most n_cols lists of k words meet per text.
-    merged = parts.groupBy("id").agg(F.flatten(F.collect_list("keywords")).alias("all"))
+def _blocks_topk(texts: DataFrame, words: DataFrame, n_blocks: int, k: int, dim: int) -> DataFrame:
+    """One pass over the texts for each block of words; each list is written before the next block is read."""
+    block = F.pmod(F.xxhash64("word"), F.lit(n_blocks))
+    rows = texts.select(F.col(ROW).alias("id"), "v")
+    schema = f"id bigint, keywords {_KEYWORDS}"
+    parts = [materialize(_block_topk(rows, words.filter(block == b), k, dim, schema)) for b in range(n_blocks)]
+    lists = reduce(DataFrame.union, parts)
+    # At most n_blocks lists of k words meet per text.
+    merged = lists.groupBy("id").agg(F.flatten(F.collect_list("keywords")).alias("all"))
     keyed = F.array_sort(F.transform("all", lambda x: F.struct((-x["similarity"]).alias("s"), x["keyword"].alias("w"))))
     best = F.transform(F.slice(keyed, 1, k), lambda x: F.struct(x["w"].alias("keyword"), (-x["s"]).alias("similarity")))
-    return merged.select("id", best.alias("keywords"))
+    return texts.select(ROW, "id").join(merged.select(F.col("id").alias(ROW), best.alias("keywords")), ROW).drop(ROW)
 
 
 def ranked_keywords(topk: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -177,10 +170,19 @@ def fit_word2vec(
     size: int = 64,
     min_count: int = 1,
     max_iter: int = 1,
-    partitions: int = 8,
+    partitions: int | None = None,
     seed: int = 7,
 ) -> Word2VecModel:
-    """Word vectors learnt from the corpus, for callers without an encoder."""
+    """Word vectors learnt from the corpus, for callers without an encoder.
+
+    Without ``partitions`` the fit uses all cores. The model's matrix of all
+    words in ``min_count`` places or more is one array on the driver; a larger
+    one raises an error before the fit.
+    """
+    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n_words = vocabulary(df, tokens).filter(F.col("cnt") >= min_count).count()
+    if n_words * size >= 1 << 31:
+        raise ValueError(f"{n_words} words of {size} numbers are too many for one model; raise min_count")
     w2v = Word2Vec(
         vectorSize=size,
         minCount=min_count,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinionlens.operators.explore import same_topic, search
+from opinionlens.operators.explore import hits, same_topic
 from opinionlens.operators.scaling import bounded_join, with_position
 from opinionlens.session import materialize
 
@@ -81,7 +81,7 @@ def search_report(
 
     A hit is listed in both sections, as on the result page it stands for.
     """
-    hits = search(results, keyword, literal).select(F.lit(0).alias("section"), id_col, "text")
+    found = hits(results, keyword, literal).select(F.lit(0).alias("section"), id_col, "text")
     others = same_topic(results, keyword, id_col, literal).select(F.lit(1).alias("section"), id_col, "text")
-    rows = hits.union(others).withColumn("keyword", F.lit(keyword.strip()))
+    rows = found.union(others).withColumn("keyword", F.lit(keyword.strip()))
     return report_requests(rows, subject, "keyword", "text", ["section", id_col], per_request)

@@ -18,6 +18,14 @@ HOT_SHARE = 1.0 / 2000
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+ROW = "__row"
+
+
+def with_row(df: DataFrame) -> DataFrame:
+    """Write ``df`` with a number of its own for each row, whatever its other columns hold."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def with_position(df: DataFrame, order: Sequence[Column | str], out: str = "position") -> DataFrame:
     """Add the exact 0-based global position of each row under ``order``.
 

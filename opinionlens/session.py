@@ -29,21 +29,26 @@ def local_session(cores: str | int = "*", app: str = "opinionlens") -> SparkSess
     )
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session of a single JVM may leave the setting out: it gets a folder
-    of its own, removed when the driver's Python ends, and keeps it in that setting.
+    Only a session of a single JVM may leave the setting out, as in tests: it
+    gets a folder of its own, removed when the driver's Python ends. (The
+    setting itself cannot be changed once a session runs.)
     """
     path = spark.conf.get(CHECKPOINT_KEY, None)
     if path:
         return path
     if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="opinionlens-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    spark.conf.set(CHECKPOINT_KEY, path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="opinionlens-")
+        atexit.register(shutil.rmtree, _OWN_DIRS[app], ignore_errors=True)
+    return _OWN_DIRS[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -62,10 +67,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that arrives in too few partitions.
+    """Use all cores on an input that arrives in too few files.
 
     A file with one row group is one task whatever its size. Inputs of many
-    files already have enough partitions and are left alone, without a shuffle.
+    files are left alone, without a shuffle; so are those of no file at all.
+    Only the plan is looked at: no job runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    files = len(df.inputFiles())
+    return df.repartition(cores, key) if 0 < files < cores else df

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from opinionlens.operators.explore import hot_keywords, overview, same_topic, search, search_summary
+from opinionlens.operators.explore import RESULT_COLUMNS, hits, hot_keywords, overview, same_topic, search, search_summary
 from opinionlens.operators.report import report_requests, search_report
 
 SCHEMA = "id int, cut_content string, text string, keyword1 string, keyword2 string, keyword3 string, dominant_topic int, sentiment_label string"
@@ -33,7 +33,7 @@ def ids(df):
     ],
 )
 def test_search(results, keyword, literal, expect):
-    assert ids(search(results, keyword, literal)) == expect
+    assert ids(hits(results, keyword, literal)) == expect
 
 
 def test_same_topic(results):
@@ -80,3 +80,9 @@ def test_search_report_lists_hits_then_topic(results):
     line = next(x for x in rows[0]["prompt"].split("\n") if x.startswith("["))
     assert json.loads(line) == ["ABC x", "ABC x", "back\\slash"]
     assert search_report(results, "nothing", "reform").count() == 0
+
+
+def test_search_has_the_ten_columns(spark, results):
+    full = results.selectExpr("*", "0.5D as similarity_score", "split(text, ' ') as processed_content", "0.7D as sentiment_score")
+    found = search(full, "abc")
+    assert tuple(found.columns) == RESULT_COLUMNS and found.count() == 1

@@ -30,8 +30,10 @@ def brute(texts, words, k):
 
     names = [w for w, _ in words]
     sims = np.round(unit([v for _, v in texts]) @ unit([v for _, v in words]).T, 6)
+    keep = [any(v) for _, v in words]
     return {
-        i: sorted(zip(names, row.tolist()), key=lambda p: (-p[1], p[0]))[:k] for (i, _), row in zip(texts, sims)
+        i: sorted((p for p, fine in zip(zip(names, row.tolist()), keep) if fine), key=lambda p: (-p[1], p[0]))[:k] if any(v) else []
+        for (i, v), row in zip(texts, sims)
     }
 
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from opinionlens.operators.explore import hot_keywords, same_topic, search, search_summary
+from opinionlens.operators.explore import hits, hot_keywords, same_topic, search_summary
 from opinionlens.operators.features import bag_of_words, tokens_of, vocabulary
 from opinionlens.operators.keywords import frequency_keywords, keyword_columns
 from opinionlens.operators.sentiment import sentiment_by_topic
@@ -67,7 +67,7 @@ def test_filters_do_not_repeat_token_work(docs):
 
 
 def test_search_is_a_scan_and_a_summary_one_row_per_task(results):
-    assert shuffles(search(results, "x")) == 0
+    assert shuffles(hits(results, "x")) == 0
     assert shuffles(search_summary(results, "x")) == 1
 
 
@@ -81,8 +81,11 @@ def test_rank_limit_comes_before_the_shuffle(docs):
     assert text.index("WindowGroupLimit", text.index("Exchange")) > 0 and "Partial" in text
 
 
-def test_spread_leaves_wide_inputs_alone(spark, docs):
-    wide = docs.repartition(16)
+def test_spread_leaves_wide_inputs_alone(spark, docs, tmp_path):
+    docs.repartition(16).write.parquet(str(tmp_path / "wide"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "narrow"))
+    wide, narrow = (spark.read.parquet(str(tmp_path / n)) for n in ("wide", "narrow"))
     assert spread(wide, "doc_id") is wide
-    narrow = docs.coalesce(1)
-    assert spread(narrow, "doc_id").rdd.getNumPartitions() >= 8
+    assert shuffles(spread(narrow, "doc_id")) == 1
+    made = spark.range(3)
+    assert spread(made, "id") is made

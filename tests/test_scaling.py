@@ -59,6 +59,7 @@ def test_shared_dir_follows_the_session(spark):
     assert shared_dir(Session("hdfs:///shared", "yarn")) == "hdfs:///shared"
     local = Session(None, "local[2]")
     assert shared_dir(local) == shared_dir(local)
-    with pytest.raises(ValueError):
-        shared_dir(Session(None, "yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(Session(None, master))
     assert materialize(spark.range(5)).count() == 5

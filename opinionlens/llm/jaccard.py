@@ -139,6 +139,11 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return np.stack(rows).view(U64)
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """A broadcast of narrow rows if their count allows it; else joins shuffle."""
+    return F.broadcast(rows) if rows.count() <= MAX_BROADCAST_ROWS else rows
+
+
 def memberships(docs: DataFrame, join: SetJoin, text: str = "text") -> DataFrame:
     """The other columns of ``docs``, ``n`` (set size) and ``cls`` (class of the set; 0: empty)."""
     names = [c for c in docs.columns if c != text]
@@ -224,12 +229,11 @@ def class_sets(docs: DataFrame, wanted: DataFrame, join: SetJoin, key: str, text
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["cls", "n", "sketch", "items"])
 
-    few = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_ROWS else wanted
-    return docs.join(few, key, "left_semi").select(text).mapInArrow(run, "cls bigint, n bigint, sketch binary, items binary")
+    return docs.join(_few(wanted), key, "left_semi").select(text).mapInArrow(run, "cls bigint, n bigint, sketch binary, items binary")
 
 
 def compare(pairs: DataFrame, sets: DataFrame, join: SetJoin) -> DataFrame:
-    """(a, b, difference, linked) of distinct pairs (a, b), exactly.
+    """(a, b, difference, linked) of distinct pairs (a, b), exactly; a set may be given more than once.
 
     Sets travel once: each to the pairs' first classes it is compared with. A
     first class with many partners is spread over several tasks.
@@ -238,8 +242,7 @@ def compare(pairs: DataFrame, sets: DataFrame, join: SetJoin) -> DataFrame:
     members = pairs.join(spread, "a").select(F.col("b").alias("cls"), "a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
     owners = spread.select(F.col("a").alias("cls"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     wanted = materialize(members.unionByName(owners))
-    few = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_ROWS else wanted
-    rows = sets.select("cls", "n", "items").join(few, "cls").withColumn("later", F.col("a") != F.col("cls"))
+    rows = sets.select("cls", "items").join(_few(wanted), "cls").withColumn("later", F.col("a") != F.col("cls"))
     ready = rows.repartition("a", "part").sortWithinPartitions("a", "part", "later")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +264,8 @@ def compare(pairs: DataFrame, sets: DataFrame, join: SetJoin) -> DataFrame:
             columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "difference", "linked"])
 
-    return ready.select("a", "part", "cls", "items").mapInArrow(run, "a bigint, b bigint, difference bigint, linked boolean")
+    found = ready.select("a", "part", "cls", "items").mapInArrow(run, "a bigint, b bigint, difference bigint, linked boolean")
+    return found.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -292,11 +296,11 @@ def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sets: Dat
     ``nearest``: for each member only the one that its sketch is nearest to.
     ``answers`` has the members' distances from the pivots.
     """
-    rooted = lists.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    torn = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
+    rooted = lists.join(_few(roots), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    torn = materialize(rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig"))
     known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "difference")
-    left = materialize(rooted.join(torn, "sig"))
-    rows = left.join(known, ["pivot", "cls"], "left").join(sets.select("cls", "n", "sketch"), "cls")
+    left = materialize(rooted.join(_few(torn), "sig"))
+    rows = left.join(known, ["pivot", "cls"], "left").join(sets.select("cls", "n", "sketch").dropDuplicates(["cls"]), "cls")
     ready = rows.select("sig", "cls", "root", "n", F.coalesce("difference", F.lit(0).cast("long")).alias("d"), "sketch")
     ready = ready.repartition("sig").sortWithinPartitions("sig", "n", "cls")
 
@@ -366,7 +370,7 @@ def similar_classes(docs: DataFrame, member: DataFrame, join: SetJoin, text: str
     listed = lists.select("cls").distinct()
     reps = member.filter("cls <> 0").groupBy("cls").agg(F.min(key).alias(key))
     wanted = materialize(reps.join(listed, "cls").select(key))
-    sets = materialize(class_sets(docs.select(key, text), wanted, join, key, text).dropDuplicates(["cls"]))
+    sets = materialize(class_sets(docs.select(key, text), wanted, join, key, text))
     star = materialize(lists.filter("cls <> pivot").select(F.least("pivot", "cls").alias("a"), F.greatest("pivot", "cls").alias("b")).distinct())
     answers = materialize(compare(star, sets, join))
     for nearest in (True, False):
@@ -421,7 +425,7 @@ def keep_one_of_each(docs: DataFrame, join: SetJoin | None = None, doc_id: str =
     least = member.join(roots, "cls").groupBy("root").agg(F.min(place).alias("least")).select("root", F.col("least.key").alias("least"))
     gone = materialize(member.join(roots, "cls").join(least, "root").filter("__key <> least").select("__key"))
     keyed = docs.withColumn("__key", document_key(doc_id, text))
-    kept = keyed.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_ROWS else gone, "__key", "left_anti")
+    kept = keyed.join(_few(gone), "__key", "left_anti")
     repeated = keyed.select("__key").groupBy("__key").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates(["__key"])

@@ -30,14 +30,16 @@ class GraphSettings:
     #: Reverse neighbours, nearest first, that meet in a node's group. (NN-descent samples them;
     #: the others still meet the node in the groups of its own neighbours.)
     reverse: int = 16
-    rounds: int = 7
+    #: Rounds at most; they end when the mean score of the neighbours rises by less than ``gain``.
+    rounds: int = 12
+    gain: float = 0.0005
     #: What each member of a group takes from it.
     kept: int = 8
-    tables: int = 4
-    group: int = 48
-    beam: int = 96
-    expand: int = 24
-    steps: int = 7
+    tables: int = 12
+    group: int = 96
+    beam: int = 192
+    expand: int = 64
+    steps: int = 4
     seed: int = 7
 
 
@@ -136,7 +138,12 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
 def nn_descent(codes: DataFrame, settings: GraphSettings) -> DataFrame:
     """(u, v, score): the approximate neighbour graph."""
     graph = materialize(_best(_meet(_first_groups(codes, settings), settings.neighbours), settings.neighbours))
+    before = -1.0
     for _ in range(settings.rounds):
+        mean = graph.agg(F.avg("score")).first()[0]
+        if mean is None or mean - before < settings.gain:
+            break
+        before = mean
         nearest = Window.partitionBy("v").orderBy(F.desc("score"), "u")
         back = graph.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= settings.reverse)
         members = (

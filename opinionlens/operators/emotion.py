@@ -64,7 +64,7 @@ def fit_emotion(
     tokens: str = "tokens",
     label_id: str = "label_id",
     max_length: int | None = None,
-    features: int = 1 << 20,
+    features: int = 1 << 18,
     max_iter: int = 20,
     decay: float = 0.01,
 ) -> PipelineModel:

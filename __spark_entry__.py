@@ -170,6 +170,12 @@ def q_stopword_filter(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_stopword_filter_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, with the stopwords joined as a list too long for the plan would be."""
+    filtered = remove_stopwords(_tokens(spark, sf), _stopwords(spark, sf), max_literal=0)
+    return filtered.select("doc_id", F.size("filtered").alias("n"), join_tokens("filtered", "|").alias("filtered"))
+
+
 def q_final_content(spark: SparkSession, sf: str) -> DataFrame:
     return _filtered(spark, sf).select("doc_id", join_tokens("filtered").alias("final_content"))
 
@@ -206,17 +212,22 @@ def q_tfidf_top(spark: SparkSession, sf: str) -> DataFrame:
 # --- keywords -----------------------------------------------------------
 
 
-def _cosine(spark: SparkSession, sf: str) -> DataFrame:
+def _cosine(spark: SparkSession, sf: str, max_matrix_bytes: int = keywords.MAX_MATRIX_BYTES) -> DataFrame:
     vectors = _read(spark, sf, "embeddings")
     texts = vectors.select(F.col("vec_id").alias("doc_id"), "embedding")
     words = vectors.select(F.format_string("w%06d", "vec_id").alias("word"), "embedding")
-    return keywords.cosine_topk(texts, words, 10)
+    return keywords.cosine_topk(texts, words, 10, max_matrix_bytes=max_matrix_bytes)
 
 
 def q_keyword_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     return keywords.ranked_keywords(_cosine(spark, sf))
 
 
+def q_keyword_cosine_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, with the words in many blocks."""
+    return keywords.ranked_keywords(_cosine(spark, sf, max_matrix_bytes=1 << 16))
+
+
 def q_keyword_triples(spark: SparkSession, sf: str) -> DataFrame:
     return keywords.keyword_triples(_cosine(spark, sf))
 
@@ -315,6 +326,13 @@ def q_sentiment_score(spark: SparkSession, sf: str) -> DataFrame:
     return scores.withColumn("sentiment_label", sentiment_label("sentiment_score"))
 
 
+def q_sentiment_score_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, with weights too many to broadcast."""
+    tokens, model = _nb(spark, sf)
+    scores = model.score(tokens, max_broadcast=0).select("doc_id", F.round("sentiment_score", 6).alias("sentiment_score"))
+    return scores.withColumn("sentiment_label", sentiment_label("sentiment_score"))
+
+
 # --- exploration, store, report -----------------------------------------
 
 
@@ -657,8 +675,17 @@ requests AS (
     || '}}],"temperature":0.7,"top_p":0.95,"max_tokens":1500}}' AS payload FROM prompts)"""
 
 
+# Queries that force an operator's way for large inputs, and the query whose result they must give.
+SAME_RESULT = {
+    "keyword_cosine_blocks": "keyword_cosine_topk",
+    "stopword_filter_joined": "stopword_filter",
+    "sentiment_score_joined": "sentiment_score",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     found = _own_sql()
+    found |= {name: found[other] for name, other in SAME_RESULT.items()}
     if corpus := _corpus_part("opinionlens.llm.queries"):
         found |= corpus.ORACLES
     if (pipeline := _corpus_part("corpus_pipeline")) and pipeline.ORACLE_SQL:

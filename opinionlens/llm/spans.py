@@ -1,8 +1,11 @@
 """Substring dedup by sliding sentence spans.
 
 A sentence ends at a full stop, question or exclamation mark before white space,
-or at a line end; one of over ``MAX_SENTENCE`` words is cut, so that text without
-such marks has several too. From each sentence on, the shortest run of at least
+or at a line end. More than ``QUIET`` words away from such ends it is cut where
+the words themselves say so: after the word of the smallest hash of any ``WINDOW``
+words in a row. So text without marks has sentences of at most ``MAX_SENTENCE``
+words too, and texts that share a passage are cut alike from ``QUIET`` words inside
+it on, wherever it stands. From each sentence on, the shortest run of at least
 ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words is hashed. Spans of one hash
 are joined over all documents, and the sentences that any but the first of them
 covers are removed. The first is that of the smallest doc_id, then of the
@@ -23,22 +26,41 @@ from opinionlens.llm.texthash import U64, _powers, mix, words_of
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-MAX_SENTENCE = 30
+MAX_SENTENCE = 30  # 2 * QUIET + WINDOW at most
+QUIET = 8
+WINDOW = 6
+
+
+def least_of_windows(values: np.ndarray, groups: np.ndarray, window: int) -> np.ndarray:
+    """Mark each value that is the least of some ``window`` values in a row of one group, equal ones all."""
+    least = np.zeros(len(values), bool)
+    n = len(values) - window + 1
+    if n <= 0:
+        return least
+    low = np.minimum.reduce([values[j : j + n] for j in range(window)])
+    inside = groups[:n] == groups[window - 1 :]
+    for j in range(window):
+        least[j : j + n] |= inside & (values[j : j + n] == low)
+    return least
 
 
 class Sentences:
     """Sentences of several texts: first word, number of the text, and byte span."""
 
-    def __init__(self, texts: pa.Array, max_sentence: int = MAX_SENTENCE):
+    def __init__(self, texts: pa.Array):
         self.words = w = words_of(texts, lower=False)
         n = len(w.hashes)
-        begins = np.ones(n, bool)
+        begins = np.ones(n + 1, bool)
         if n:
             lines = np.concatenate([[0], np.cumsum(w.data == 10)])
             stop = np.isin(w.data[w.ends[:-1] - 1], np.frombuffer(b".!?", np.uint8))
-            begins[1:] = stop | (lines[w.starts[1:]] > lines[w.ends[:-1]]) | (w.rows[1:] != w.rows[:-1])
-            own = np.maximum.accumulate(np.where(begins, np.arange(n), 0))
-            begins |= (np.arange(n) - own) % max_sentence == 0
+            begins[1:n] = stop | (lines[w.starts[1:]] > lines[w.ends[:-1]]) | (w.rows[1:] != w.rows[:-1])
+            ends = np.flatnonzero(begins)
+            at = np.arange(1, n)  # a cut before this word
+            behind = np.searchsorted(ends, at, side="right")
+            quiet = (at - ends[behind - 1] > QUIET) & (ends[behind] - at > QUIET)
+            begins[1:n] |= quiet & least_of_windows(w.hashes, w.rows, WINDOW)[:-1]
+        begins = begins[:n]
         self.first = np.append(np.flatnonzero(begins), n)
         self.rows = w.rows[self.first[:-1]]
         self.of_row = np.searchsorted(self.rows, np.arange(w.n_rows + 1))

@@ -5,8 +5,9 @@ or at a line end. More than ``QUIET`` words away from such ends it is cut where
 the words themselves say so: after the word of the smallest hash of any ``WINDOW``
 words in a row. So text without marks has sentences of at most ``MAX_SENTENCE``
 words too, and texts that share a passage are cut alike from ``QUIET`` words inside
-it on, wherever it stands. From each sentence on, the shortest run of at least
-``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words is hashed. Spans of one hash
+it on, wherever it stands. The shortest run of at least ``MIN_SENTENCES`` sentences and
+``MIN_WORDS`` words from each sentence on is hashed, and so is the shortest one up
+to it: together they cover every longer run that is repeated. Spans of one hash
 are joined over all documents, and the sentences that any but the first of them
 covers are removed. The first is that of the smallest doc_id, then of the
 smallest place in the text.
@@ -66,13 +67,18 @@ class Sentences:
         self.of_row = np.searchsorted(self.rows, np.arange(w.n_rows + 1))
 
     def spans(self, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sentence that begins each span, number of its sentences, and hash of its words."""
+        """Sentence that begins each span, number of its sentences, and hash of its words; a span comes once."""
         n = len(self.first) - 1
         begin = np.arange(n)
         end = np.searchsorted(self.first, self.first[:-1] + min_words)  # first word behind, as a sentence number
         end = np.maximum(end, begin + min_sentences)
+        until = np.arange(1, n + 1)
+        since = np.searchsorted(self.first, self.first[1:] - min_words, side="right") - 1
+        since = np.minimum(since, until - min_sentences)
         whole = end <= self.of_row[self.rows + 1] if n else np.zeros(0, bool)
-        begin, end = begin[whole], end[whole]
+        tail = since >= self.of_row[self.rows] if n else np.zeros(0, bool)
+        tail[tail] = end[since[tail]] != until[tail]  # not one of the others
+        begin, end = np.append(begin[whole], since[tail]), np.append(end[whole], until[tail])
         up, down = _powers(len(self.words.hashes) + 1)
         sums = np.zeros(len(self.words.hashes) + 1, U64)
         np.cumsum(self.words.hashes * up[: len(self.words.hashes)], dtype=U64, out=sums[1:])
@@ -166,6 +172,6 @@ def dedup_spans(
     firsts = spans.groupBy("hash").agg(F.count("*").alias("__n"), F.min(place).alias("__first")).filter("__n > 1")
     # The larger side is keyed by hash: where one holds a large share, adaptive execution splits its partition.
     repeated = spans.join(firsts.drop("__n"), "hash").filter(place != F.col("__first"))
-    cut = repeated.groupBy("__key").agg(F.collect_set(F.struct("at", "size")).alias("__spans"))  # at most one for each sentence
+    cut = repeated.groupBy("__key").agg(F.collect_set(F.struct("at", "size")).alias("__spans"))  # at most two for each sentence
     marked = keyed.join(cut, "__key", "left").drop("__key")
     return remove_sentences(marked, text).select(*docs.columns, "n_sentences", "n_removed")

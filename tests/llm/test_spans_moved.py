@@ -39,6 +39,20 @@ def test_unmarked_passages(spark, length, mark):
         assert [w for w in got[2 * k + 1].split() if w not in passage] == others
 
 
+def test_two_sentences_inside_a_hosts_sentence(spark):
+    docs, passages = [], []
+    for k in range(40):
+        passage = new_words(f"s{k}x", 28) + new_words(f"t{k}x", 28)
+        passage[27] += "."
+        passages.append(passage)
+        docs.append((2 * k, " ".join(passage) + ". Its own end here."))
+        docs.append((2 * k + 1, " ".join(new_words(f"b{k}n", k % 13 + 1) + passage + new_words(f"e{k}n", k % 11)) + "."))
+    got = {r.doc_id: r.text for r in dedup_spans(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    for k, passage in enumerate(passages):
+        assert got[2 * k] == docs[2 * k][1]
+        assert not [i for i in runs_left(got[2 * k + 1], passage) if EDGE < i < 55 - EDGE]
+
+
 def test_length_of_sentences():
     r = random.Random(3)
     texts = [" ".join(r.choices(["a", "b", "c"], k=300)), "na " * 300, " ".join(new_words("w", 300)), " ".join(new_words("w", 16)) + ".", "one", ""]

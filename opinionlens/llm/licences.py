@@ -1,7 +1,8 @@
 """Licence scans by sparse TF-IDF cosine, and inheritance from the nearest ancestor directory.
 
 Every line of a file is a possible notice, and a licence file is compared as a
-whole too. Terms weigh by their inverse document frequency over all files; words
+whole too. Full licence texts, headers and notices are also compared with all
+windows of their own length in words, wherever lines end, and SPDX tags are read. Terms weigh by their inverse document frequency over all files; words
 outside the templates weigh as unseen ones. A line can only reach the threshold
 if it has one of the templates' key terms, so only lines with one are compared:
 the terms left out make up too little of any template. A file without a licence of
@@ -15,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,44 @@ NOTICES = (
     ("ISC", "Released under the ISC License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Standard headers, as they stand wrapped in comments, and notices with other words around them.
+HEADERS = (
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    ("GPL-3.0", GPL_HEADER := "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", GPL_HEADER.replace("version 3", "version 2")),
+    ("AGPL-3.0", GPL_HEADER.replace("GNU General", "GNU Affero General")),
+    ("LGPL-3.0", GPL_HEADER.replace("GNU General", "GNU Lesser General")),
+    ("LGPL-2.1", GPL_HEADER.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file."),
+    ("ISC", "Licensed under the ISC License."),
+    ("GPL-3.0", "Licensed under the GNU General Public License v3.0."),
+    ("GPL-2.0", "Licensed under the GNU General Public License v2.0."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+)
+# Terms of which a window must hold one of each group, and terms it must not hold, to count as a notice or header.
+NAMED = {
+    "MIT": (("mit",), ()),
+    "Apache-2.0": (("apache",), ()),
+    "GPL-3.0": (("general",), ("3", "3.0"), ("lesser", "affero", "library")),
+    "GPL-2.0": (("general",), ("2", "2.0"), ("lesser", "affero", "library")),
+    "LGPL-3.0": (("lesser",), ("3", "3.0"), ()),
+    "LGPL-2.1": (("lesser",), ("2.1",), ()),
+    "AGPL-3.0": (("affero",), ()),
+    "BSD-3-Clause": (("bsd",), ("3",), ()),
+    "BSD-2-Clause": (("bsd",), ("2",), ()),
+    "MPL-2.0": (("mozilla",), ()),
+    "CC-BY-4.0": (("cc",), ("by",), ("4.0",), ("sa", "nc", "nd")),
+    "CC-BY-SA-4.0": (("cc",), ("sa",), ("4.0",), ("nc", "nd")),
+    "CC-BY-NC-4.0": (("cc",), ("nc",), ("4.0",), ("sa", "nd")),
+    "ISC": (("isc",), ()),
+    "Unlicense": (("unencumbered",), ()),
+}
+SPDX = re.compile(r"(?i)spdx-license-identifier:[ \t]*\(?[ \t]*([a-z0-9][a-z0-9.+-]*)")
+# Each template has one of these.
+ANCHOR = re.compile(r"(?i)licen[cs]|redistribut|permission|unencumbered|copyright")
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 
 _TERMS = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
@@ -53,6 +93,82 @@ def terms_of(text: str) -> list[str]:
     return _TERMS.findall(text.lower())
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """Whole licences; the AGPL is the GPL's text under its own name, which nearly all its clauses share."""
+    found = {p.stem: p.read_text() for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+    found["AGPL-3.0"] = re.sub("(?i)gnu general public", "GNU Affero General Public", found["GPL-3.0"])
+    return list(found.items())
+
+
+def spdx_licence(text: str) -> str | None:
+    """Licence of the first SPDX tag, without the suffixes that tell of later versions."""
+    found = SPDX.search(text)
+    if not found:
+        return None
+    own = re.sub(r"(?i)(-only|-or-later|\+)$", "", found[1].rstrip(".-"))
+    return next((n for n in (*NAMED, "CC0-1.0") if n.lower() == own.lower()), own)
+
+
+@dataclass
+class Windows:
+    """Templates that are compared with all windows of as many words as they have."""
+
+    names: list[str]
+    place: dict[str, int]
+    weights: list[np.ndarray]
+    lengths: list[int]
+    short: int
+    idf: np.ndarray
+
+    @classmethod
+    def of(cls, short: Sequence[tuple[str, str]], texts: Sequence[tuple[str, str]], files_with: dict[str, int], files: int) -> Windows:
+        every = [*short, *texts]
+        named = {t for groups in NAMED.values() for group in groups for t in group}
+        place = {t: i for i, t in enumerate(sorted(named | {t for _, text in every for t in terms_of(text)}))}
+        idf = np.array([1 + math.log((1 + files) / (1 + files_with.get(t, 0))) for t in place] + [1 + math.log(1 + files)])
+        weights = []
+        for _, text in every:
+            own = np.zeros(len(idf))
+            for term, n in Counter(terms_of(text)).items():
+                own[place[term]] = n * idf[place[term]]
+            weights.append(own / np.linalg.norm(own))
+        return cls([n for n, _ in every], place, weights, [len(terms_of(x)) for _, x in every], len(short), idf)
+
+    def best(self, text: str, threshold: float) -> tuple[str | None, float]:
+        """The licence of the window nearest to its template, if it reaches ``threshold``, and the cosine."""
+        if not ANCHOR.search(text):
+            return None, 0.0
+        if spdx := spdx_licence(text):
+            return spdx, 1.0
+        terms = terms_of(text)
+        n, other = len(terms), len(self.place)
+        ids = np.array([self.place.get(t, other) for t in terms], np.int64)
+        held = lambda values, size: (sums := np.concatenate([[0], np.cumsum(values)]))[size:] - sums[:-size]
+        best: tuple[str | None, float] = (None, 0.0)
+        present = set(terms)
+        for k, (name, own, length) in enumerate(zip(self.names, self.weights, self.lengths, strict=True)):
+            *groups, never = NAMED.get(name, ((),)) if k < self.short else ((),)
+            if not n or not all(present.intersection(g) for g in groups):
+                continue
+            size = min(n, length)
+            dots = held((own * self.idf)[ids], size)
+            # Repeated words only lengthen a window's vector, so this is no less than its cosine.
+            bound = dots / np.sqrt(held(self.idf[ids] ** 2, size))
+            for group in groups:
+                bound[held(np.isin(ids, [self.place[t] for t in group]), size) == 0] = 0
+            bound[held(np.isin(ids, [self.place[t] for t in never]), size) > 0] = 0
+            at = np.flatnonzero(bound >= max(threshold, best[1]) - 1e-9)
+            for i in at[np.argsort(-bound[at], kind="stable")]:
+                if bound[i] <= best[1]:
+                    break
+                counts = Counter(terms[i : i + size])
+                norm = math.sqrt(sum((c * self.idf[self.place.get(t, other)]) ** 2 for t, c in counts.items()))
+                cosine = min(1.0, float(dots[i]) / norm)
+                if cosine >= threshold and cosine > best[1]:
+                    best = name, cosine
+        return best
+
+
 @dataclass
 class Templates:
     """Template vectors in TF-IDF weights, and the terms by which lines are found."""
@@ -135,18 +251,20 @@ def document_frequencies(files: DataFrame, terms: Sequence[str], text: str = "te
     return found, found.pop("", 0)
 
 
-def own_licences(files: DataFrame, templates: Templates, threshold: float, text: str, path: str) -> DataFrame:
+def own_licences(files: DataFrame, templates: Templates, windows: Windows, threshold: float, text: str, path: str) -> DataFrame:
     """Replace the text by ``own_licence`` (null under the threshold) and ``similarity``."""
     names = [c for c in files.columns if c not in (text, "own_licence", "similarity", "__whole")]
     schema = with_fields(files.select(*names).schema, own_licence="string", similarity="double")
-    shared = files.sparkSession.sparkContext.broadcast(templates)
+    shared = files.sparkSession.sparkContext.broadcast((templates, windows))
     marked = files.select(text, *names, F.coalesce(F.col(path).rlike(LICENCE_FILE), F.lit(False)).alias("__whole"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, windows = shared.value
         for whole in batches:
             for batch, texts in text_slices(whole, text):
-                found = [own.scan(t, w) for t, w in zip(texts.to_pylist(), batch["__whole"].to_pylist(), strict=True)]
+                found = []
+                for t, w in zip(texts.to_pylist(), batch["__whole"].to_pylist(), strict=True):
+                    found.append(max(own.scan(t, w), windows.best(t, threshold), key=lambda x: x[1]))
                 licences = pa.array([n if s >= threshold else None for n, s in found], pa.string())
                 columns = [*(batch[c] for c in names), licences, pa.array([s for _, s in found], pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "own_licence", "similarity"])
@@ -172,10 +290,12 @@ def scan_licences(
     ``files`` named like an added one are replaced; names with two leading
     underscores are the operator's own.
     """
-    vocabulary = sorted({t for _, n in notices for t in terms_of(n)})
-    templates = Templates.of(notices, *document_frequencies(files, vocabulary, text), threshold)
+    short, texts = [*notices, *HEADERS], full_texts()
+    counted = document_frequencies(files, sorted({t for _, n in [*short, *texts] for t in terms_of(n)}), text)
+    templates = Templates.of(notices, *counted, threshold)
+    windows = Windows.of(short, texts, *counted)
     kept = files.select(*[c for c in files.columns if c not in ("licence", "licence_dir")])
-    scanned = materialize(own_licences(kept, templates, threshold, text, path).withColumn("__dir", F.regexp_extract(path, "^(.*)/[^/]*$", 1)))
+    scanned = materialize(own_licences(kept, templates, windows, threshold, text, path).withColumn("__dir", F.regexp_extract(path, "^(.*)/[^/]*$", 1)))
     given = (
         scanned.filter(F.col(path).rlike(LICENCE_FILE) & F.col("own_licence").isNotNull())
         .groupBy(F.col("__dir").alias("__above"))

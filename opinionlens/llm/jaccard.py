@@ -54,6 +54,10 @@ class SetJoin:
     #: A text with fewer words counts as one n-gram of all its words (else it has none).
     short_as_one: bool = True
 
+    def __post_init__(self):
+        if not 1 <= self.percent <= 100:
+            raise ValueError("percent must be between 1 and 100")
+
     def max_difference(self, total: int) -> int:
         """Largest symmetric difference of two linked sets whose sizes add up to ``total``."""
         return (100 - self.percent) * total // (100 + self.percent)
@@ -88,8 +92,9 @@ def levels(n: int, join: SetJoin) -> list[tuple[int, int]]:
     while n > bound:
         number, bound = number + 1, int(bound * GROWTH) + 1
     found = [(number, bound)]
-    if 100 * n > join.percent * bound:
-        found.append((number + 1, int(bound * GROWTH) + 1))
+    while 100 * n > join.percent * bound:
+        number, bound = number + 1, int(bound * GROWTH) + 1
+        found.append((number, bound))
     return found
 
 

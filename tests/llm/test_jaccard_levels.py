@@ -1,0 +1,42 @@
+"""The set join at low similarities."""
+
+import random
+
+import pytest
+from test_jaccard import brute
+
+from opinionlens.llm.jaccard import GROWTH, SetJoin, jaccard_components, levels
+
+
+@pytest.mark.parametrize("percent", [30, 50, 62, 80, 85])
+def test_linked_sizes_share_a_level(percent):
+    join = SetJoin(percent=percent)
+    own = {n: {number for number, _ in levels(n, join)} for n in range(1, 1000)}
+    for n in range(1, 300):
+        assert all(own[n] & own[m] for m in range(n, 100 * n // percent + 1) if m in own), n
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_two_levels_are_enough_for_the_queries(percent):
+    for n in range(1, 20_000):
+        number, bound = 0, 8
+        while n > bound:
+            number, bound = number + 1, int(bound * GROWTH) + 1
+        more = [(number + 1, int(bound * GROWTH) + 1)] if 100 * n > percent * bound else []
+        assert levels(n, SetJoin(percent=percent)) == [(number, bound), *more]
+
+
+def test_contained_sets(spark):
+    r = random.Random(5)
+    docs = []
+    for k in range(8):
+        words = [f"f{k}w{i}" for i in range(r.choice([19, 19, 31, 60, 150]))]
+        docs += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(words[: (len(words) - 3) // 2 + 3])), (3 * k + 2, f"alone f{k} " * 9)]
+    join = SetJoin(percent=50)
+    got = jaccard_components(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4), join)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(docs, percent=50))
+
+
+def test_percent_is_checked():
+    with pytest.raises(ValueError):
+        SetJoin(percent=0)

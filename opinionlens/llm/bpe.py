@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from opinionlens.llm.common import with_fields, worker_cache
+from opinionlens.llm.common import with_fields, worker_held
 
 SPACE = "▁"
 #: Chunks and piece pairs that a worker remembers; beyond it, it starts afresh.
@@ -204,15 +204,6 @@ def _decoded(raw: bytes) -> Iterator[str]:
             at += e.start + 1
 
 
-def encoder(model_file: str) -> PieceEncoder:
-    """The worker's encoder, made once for each process."""
-    cache = worker_cache()
-    key = ("pieces", model_file)
-    if key not in cache:
-        cache[key] = PieceEncoder(model_file)
-    return cache[key]
-
-
 def encode_texts(
     docs: DataFrame, model_file: str, text: str = "text", ids: bool = True, digests: bool = False
 ) -> DataFrame:
@@ -232,7 +223,7 @@ def encode_texts(
     schema = with_fields(kept.schema, **kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(model_file)
+        own = worker_held(("pieces", model_file), lambda: PieceEncoder(model_file))
         begin, end = (np.asarray([x], "<u4").tobytes() for x in (own.bos, own.eos))
         for whole in batches:
             for at in range(0, whole.num_rows, 256):

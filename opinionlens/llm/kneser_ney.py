@@ -24,7 +24,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinionlens.llm.common import text_slices, with_fields, worker_cache
+from opinionlens.llm.common import drop_held, release, text_slices, with_fields
 from opinionlens.llm.texthash import U64, mix, words_of
 from opinionlens.session import materialize, shared_dir
 
@@ -82,10 +82,12 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     """(word, count) over all texts, the end token included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         for whole in batches:
-            held = [token_stream(texts)[1] for _, texts in text_slices(whole, text)]
-            words, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, U64), np.zeros(0))
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], names=["word", "count"])
+            for _, texts in text_slices(whole, text):
+                words, counts = np.unique(token_stream(texts)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], names=["word", "count"])
+        release()
 
     return docs.select(text).mapInArrow(run, "word bigint, count bigint").groupBy("word").agg(F.sum("count").alias("count"))
 
@@ -116,6 +118,7 @@ def packed_pairs(docs: DataFrame, text: str, frequent: np.ndarray, parts: int) -
                     held = []
         if held:
             yield give(held)
+        release()
 
     return docs.select(text).mapInArrow(run, "part bigint, contexts binary, runs binary, words binary, counts binary")
 
@@ -333,8 +336,7 @@ def score_texts(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFr
     schema = with_fields(docs.select(*names).schema, **added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
-        own = cache.get(model.folder) or cache.setdefault(model.folder, Model(model))
+        own = Model(model)  # mapped anew in each task: the pages stay in the system's cache, not in the worker
         for whole in batches:
             for batch, texts in text_slices(whole, text):
                 contexts, tokens, rows = token_stream(texts)
@@ -357,5 +359,6 @@ def score_texts(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFr
                 }
                 arrays = [*(batch[c] for c in names), *map(pa.array, columns.values())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *added])
+        release()
 
     return docs.select(*names).mapInArrow(run, schema)

@@ -4,14 +4,17 @@ For each language a suffix automaton is built of labelled text. A document is
 parsed into the longest phrases that occur in the language's text; the language
 that needs the fewest phrases, weighted by the logarithm of its text's length (the
 cost of naming a place in it), wins. Texts are letters in lower case with all else
-as one blank. They are parsed whole, in blocks that each begin a new phrase, so
-that numpy follows many blocks and all languages at once.
+as one blank. The alphabet is all letters of the labelled texts.
+
+Texts are parsed whole. So that numpy follows many places and all languages at
+once, a long text is first parsed from the begin of each of its blocks; then each
+block's parse is carried on into the next ones until it is in the state that was
+found there, from where on both are the same.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinionlens.llm.common import text_slices, with_fields, worker_cache
+from opinionlens.llm.common import text_slices, with_fields, worker_cache, worker_held
 
 UNDETERMINED = "und"
 BLOCK = 512
-#: Codes: 0 what is no letter, 1 a letter out of the alphabet, from 2 on the alphabet.
-ALPHABET = 62
+#: Cells of (language, character) that are parsed at once.
+CELLS = 8 << 20
+#: Codes: 0 what is no letter, 1 a letter that no labelled text has, from 2 on the alphabet.
+FIRST_LETTER = 2
 
 
 @dataclass(frozen=True)
@@ -61,8 +66,8 @@ def sample_languages(
     return LanguageSamples(tuple((name, " ".join(t for _, t in sorted(ts))) for name, ts in sorted(found.items())))
 
 
-def suffix_automaton(codes: list[int], n_codes: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``, by state and code; 0 where there is none."""
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions (code to state) of each state of the suffix automaton of ``codes``; no transition leads to state 0."""
     links, lengths, moves = [-1], [0], [{}]
     last = 0
     for code in codes:
@@ -88,75 +93,171 @@ def suffix_automaton(codes: list[int], n_codes: int) -> np.ndarray:
                     at = links[at]
                 links[old] = links[new] = copy
         last = new
-    table = np.zeros((len(moves), n_codes), np.int32)
-    for state, own in enumerate(moves):
-        for code, target in own.items():
-            table[state, code] = target
-    return table
+    return moves
+
+
+class Transitions:
+    """Sparse transitions of all automata as one open hash table of sorted-out arrays."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: np.ndarray, targets: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.targets = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):  # of several for one free place the first gets it, the others go on to the next place
+            free = np.flatnonzero(self.keys[slot] < 0)
+            own = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[own]], self.targets[slot[own]] = keys[left[own]], targets[left[own]]
+            rest = np.ones(len(left), bool)
+            rest[own] = False
+            left, slot = left[rest], (slot[rest] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * self.FACTOR) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Target of each key; 0 where there is none."""
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.targets[slot], 0)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & self.mask
+            held, wanted = self.keys[slot], keys[left]
+            hit = held == wanted
+            out[left[hit]] = self.targets[slot[hit]]
+            on = ~hit & (held >= 0)
+            left, slot = left[on], slot[on]
+        return out
 
 
 class CrossParser:
     """Parses texts by the automata of all languages at once."""
 
-    def __init__(self, samples: LanguageSamples):
-        self.names = [name for name, _ in samples.texts]
-        counts = Counter(c for _, t in samples.texts for c in t.lower() if c.isalpha() and ord(c) < 65_536)
-        self.codes = np.array([1 if chr(i).isalpha() else 0 for i in range(65_536)], np.uint8)
-        for i, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]):
-            self.codes[ord(c)] = i + 2
-        self.width = ALPHABET + 2
-        tables, self.roots, self.weights, at = [], [], [], 0
-        for _, text in samples.texts:
+    def __init__(self, texts: Sequence[tuple[str, str]]):
+        self.names = [name for name, _ in texts]
+        self.codes = _letters().copy()
+        alphabet = sorted({ord(c) for _, t in texts for c in t.lower() if c.isalpha()})
+        self.codes[alphabet] = np.arange(FIRST_LETTER, FIRST_LETTER + len(alphabet))
+        self.width = FIRST_LETTER + len(alphabet)
+        keys, targets, self.roots, self.weights, at = [], [], [], [], 0
+        for _, text in texts:
             codes = self.encode(text)
-            table = suffix_automaton(codes.tolist(), self.width)
-            tables.append(np.where(table > 0, table + at, 0))
+            moves = suffix_automaton(codes.tolist())
+            sizes = np.array([len(m) for m in moves])
+            inner = np.fromiter((c for m in moves for c in m), np.int64, sizes.sum())
+            keys.append(np.repeat(np.arange(at, at + len(moves)), sizes) * self.width + inner)
+            targets.append(np.fromiter((t for m in moves for t in m.values()), np.int64, sizes.sum()) + at)
             self.roots.append(at)
             self.weights.append(np.log2(max(len(codes), 2)))
-            at += len(table)
-        # One automaton after the other; target 0 stays "no such transition", as no transition leads to a root.
-        self.moves = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+            at += len(moves)
+        empty = np.zeros(0, np.int64)
+        self.moves = Transitions(np.concatenate([*keys, empty]), np.concatenate([*targets, empty]).astype(np.int32))
 
     def encode(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = self.codes[np.minimum(points, 65_535)]
-        high = points > 65_535
-        if high.any():
-            codes[high] = [chr(p).isalpha() for p in points[high]]
+        codes = self.codes[points]
         keep = np.ones(len(codes), bool)
         keep[1:] = (codes[1:] > 0) | (codes[:-1] > 0)
         return codes[keep]
 
+    def step(self, state: np.ndarray, root: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State after a code, and whether a new phrase begins with it.
+
+        A code that the language never has is a phrase of its own; the next one starts at the root.
+        """
+        target = self.moves.find(state * self.width + code)
+        at = np.flatnonzero(target == 0)
+        again = self.moves.find(root[at] * self.width + code[at])
+        target[at] = np.where(again > 0, again, root[at])
+        missed = np.zeros(len(state), bool)
+        missed[at] = True
+        return target.astype(np.int64), missed
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases that each text needs in each language, and letters of each text."""
         encoded = [self.encode(t) for t in texts]
-        sizes = np.array([len(c) for c in encoded])
-        letters = np.array([np.count_nonzero(c) for c in encoded])
+        letters = np.array([np.count_nonzero(c) for c in encoded], np.int64)
         total = np.zeros((len(self.names), len(texts)), np.int64)
-        if not len(self.names) or not sizes.sum():
-            return total, letters
-        flat = np.concatenate(encoded)
-        begin = np.concatenate([np.arange(e - n, e, BLOCK) for n, e in zip(sizes, np.cumsum(sizes))])
-        rows = np.repeat(np.arange(len(texts)), -(-sizes // BLOCK))
-        length = np.minimum(BLOCK, np.cumsum(sizes)[rows] - begin)
-        order = np.argsort(-length, kind="stable")
-        begin, rows, length = begin[order], rows[order], length[order]
-        roots = np.array(self.roots, np.int64)[:, None] * self.width
-        state = np.repeat(roots, len(begin), axis=1)
-        counts = np.ones((len(self.names), len(begin)), np.int64)
-        active = np.searchsorted(-length, -np.arange(BLOCK), side="left")
-        for j in range(int(length[0])):
-            m = active[j]  # blocks of over j codes
-            code = flat[begin[:m] + j].astype(np.int64)
-            target = self.moves[state[:, :m] + code]
-            missed = target == 0
-            counts[:, :m] += missed
-            target = np.where(missed, self.moves[roots + code], target)
-            # A code that the language never has is a phrase of its own; the next one starts at the root.
-            state[:, :m] = np.where(target > 0, target.astype(np.int64) * self.width, roots)
-        for i in range(len(self.names)):
-            total[i] = np.bincount(rows, counts[i], len(texts)).astype(np.int64)
+        filled = [i for i, c in enumerate(encoded) if len(c)]
+        limit = CELLS // max(1, len(self.names))
+        at = 0
+        while self.names and at < len(filled):
+            end, size = at, 0
+            while end < len(filled) and (end == at or size + len(encoded[filled[end]]) <= limit):
+                size += len(encoded[filled[end]])
+                end += 1
+            total[:, filled[at:end]] = self._parse([encoded[i] for i in filled[at:end]])
+            at = end
         return total, letters
 
+    def _parse(self, encoded: list[np.ndarray]) -> np.ndarray:
+        sizes = np.array([len(c) for c in encoded])
+        flat = np.concatenate(encoded).astype(np.int64)
+        ends, n_langs = np.cumsum(sizes), len(self.names)
+        begin = np.concatenate([np.arange(e - n, e, BLOCK) for n, e in zip(sizes, ends, strict=True)])
+        rows = np.repeat(np.arange(len(sizes)), -(-sizes // BLOCK))
+        length = np.minimum(BLOCK, ends[rows] - begin)
+        states, missed = np.zeros((n_langs, len(flat)), np.int32), np.zeros((n_langs, len(flat)), bool)
+        roots = np.array(self.roots, np.int64)
+        order = np.argsort(-length, kind="stable")
+        active = np.searchsorted(-length[order], -np.arange(BLOCK), side="left")  # blocks of over j codes
+        for lang in range(n_langs):
+            state, root = np.full(len(begin), roots[lang]), np.full(len(begin), roots[lang])
+            for j in range(int(length.max())):
+                m = active[j]
+                at = begin[order[:m]] + j
+                state[:m], new = self.step(state[:m], root[:m], flat[at])
+                states[lang, at], missed[lang, at] = state[:m], new
+        meet, more = self._carry_on(flat, begin, rows, ends, states)
+        before = np.concatenate([np.zeros((n_langs, 1), np.int64), np.cumsum(missed, axis=1)], axis=1)
+        total = 1 + before[:, ends] - before[:, ends - sizes]
+        first = np.searchsorted(rows, np.arange(len(sizes) + 1))
+        block_end = begin + length
+        for row in np.flatnonzero(np.diff(first) > 1):
+            for lang in range(n_langs):
+                block, count = first[row], 1 + before[lang, block_end[first[row]]] - before[lang, begin[first[row]]]
+                while block < first[row + 1] - 1:
+                    count += more[lang, block]
+                    if meet[lang, block] >= ends[row]:
+                        break
+                    place = meet[lang, block]
+                    block = first[row] + (place - begin[first[row]]) // BLOCK
+                    count += before[lang, block_end[block]] - before[lang, place + 1]
+                total[lang, row] = count
+        return total
+
+    def _carry_on(self, flat: np.ndarray, begin: np.ndarray, rows: np.ndarray, ends: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the parse of each block, carried on, meets that of a later block of its text, and the phrases begun until then.
+
+        Without such a place it is the text's end.
+        """
+        n_langs = len(self.names)
+        inner = np.flatnonzero(rows[:-1] == rows[1:])
+        meet, more = np.tile(ends[rows], (n_langs, 1)), np.zeros((n_langs, len(begin)), np.int64)
+        lang, block = np.repeat(np.arange(n_langs), len(inner)), np.tile(inner, n_langs)
+        at = begin[block + 1]
+        state = states[lang, at - 1].astype(np.int64)
+        while len(block):
+            state, new = self.step(state, np.array(self.roots, np.int64)[lang], flat[at])
+            more[lang, block] += new
+            same = states[lang, at] == state
+            meet[lang[same], block[same]] = at[same]
+            on = ~same & (at + 1 < ends[rows[block]])
+            lang, block, at, state = lang[on], block[on], at[on] + 1, state[on]
+        return meet, more
+
+
+def _letters() -> np.ndarray:
+    """1 for each code point that is a letter."""
+    cache = worker_cache()
+    if "letters" not in cache:
+        cache["letters"] = np.array([chr(i).isalpha() for i in range(0x110000)], np.int32)
+    return cache["letters"]
+
 
 def identify_languages(docs: DataFrame, samples: LanguageSamples, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` (1 less best cost by second-best cost) and ``phrase_letters`` to every row.
@@ -170,11 +271,11 @@ def identify_languages(docs: DataFrame, samples: LanguageSamples, text: str = "t
     added = ("lang_pred", "score", "phrase_letters")
     names = [c for c in docs.columns if c not in added]
     schema = with_fields(docs.select(*names).schema, lang_pred="string", score="double", phrase_letters="double")
-    shared = docs.sparkSession.sparkContext.broadcast(samples)
+    # Plain tuples: broadcasts are pickled by reference to their classes, which workers may not be able to import.
+    shared = docs.sparkSession.sparkContext.broadcast(samples.texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, key = worker_cache(), ("languages", hash(shared.value.texts))
-        parser = cache.get(key) or cache.setdefault(key, CrossParser(shared.value))
+        parser = worker_held(("languages", hash(shared.value)), lambda: CrossParser(shared.value))
         for whole in batches:
             for batch, texts in text_slices(whole, text):
                 phrases, letters = parser.phrases(texts.to_pylist())

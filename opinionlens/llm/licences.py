@@ -20,7 +20,6 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -242,8 +241,9 @@ def document_frequencies(files: DataFrame, terms: Sequence[str], text: str = "te
         counts: Counter = Counter()
         for batch in batches:
             counts[""] += batch.num_rows
-            for one in pc.fill_null(batch[text], "").to_pylist():
-                counts.update(wanted.intersection(terms_of(one)))
+            for _, texts in text_slices(batch, text):
+                for one in texts.to_pylist():
+                    counts.update(wanted.intersection(terms_of(one)))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
     counted = files.select(text).mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
@@ -255,11 +255,12 @@ def own_licences(files: DataFrame, templates: Templates, windows: Windows, thres
     """Replace the text by ``own_licence`` (null under the threshold) and ``similarity``."""
     names = [c for c in files.columns if c not in (text, "own_licence", "similarity", "__whole")]
     schema = with_fields(files.select(*names).schema, own_licence="string", similarity="double")
-    shared = files.sparkSession.sparkContext.broadcast((templates, windows))
+    # Plain fields: broadcasts are pickled by reference to their classes, which workers may not be able to import.
+    shared = files.sparkSession.sparkContext.broadcast((tuple(vars(templates).values()), tuple(vars(windows).values())))
     marked = files.select(text, *names, F.coalesce(F.col(path).rlike(LICENCE_FILE), F.lit(False)).alias("__whole"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, windows = shared.value
+        own, windows = Templates(*shared.value[0]), Windows(*shared.value[1])
         for whole in batches:
             for batch, texts in text_slices(whole, text):
                 found = []

@@ -28,7 +28,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinionlens.llm.common import with_fields, worker_cache
+from opinionlens.llm.common import with_fields, worker_held
 from opinionlens.operators.scaling import with_position
 from opinionlens.session import materialize
 
@@ -113,9 +113,7 @@ def cut_pieces(docs: DataFrame, tokenizer_file: str, window: int, text: str = "t
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
-        key = ("tokenizer", tokenizer_file)
-        own = cache.get(key) or cache.setdefault(key, WordTokenizer(tokenizer_file))
+        own = worker_held(("tokenizer", tokenizer_file), lambda: WordTokenizer(tokenizer_file))
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)

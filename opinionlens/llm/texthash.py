@@ -19,6 +19,8 @@ from opinionlens.llm.common import worker_cache
 
 BASE = 0x9E3779B97F4A7C15
 LONG_WORD = 64
+#: Powers that a worker keeps, 16 bytes each: enough for a slice of texts.
+KEPT_POWERS = 1 << 22
 U64 = np.uint64
 
 
@@ -42,10 +44,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     cache = worker_cache()
     held = cache.get("powers")
     if held is None or len(held[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = 1 << max(16, int(n - 1).bit_length())  # of a text longer than all slices the next call makes its own
         up, down = np.full(size, BASE, U64), np.full(size, pow(BASE, -1, 1 << 64), U64)
         up[0] = down[0] = 1
-        held = cache["powers"] = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
+        held = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
+        if size <= KEPT_POWERS:
+            cache["powers"] = held
     return held
 
 

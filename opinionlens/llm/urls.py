@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinionlens.llm.common import with_fields, worker_cache
+from opinionlens.llm.common import with_fields, worker_held
 from opinionlens.session import materialize
 
 #: URLs probed at once.
@@ -163,8 +163,7 @@ def filter_urls(pages: DataFrame, store: DigestFiles, url: str = "url", default:
     schema = with_fields(kept.schema, host="string", path="string", rule="string", verdict="string")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = worker_cache()
-        arrays = held.get(store.names) or held.setdefault(store.names, DigestArrays(store.names))
+        arrays = worker_held(("digests", *store.names), lambda: DigestArrays(store.names))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)

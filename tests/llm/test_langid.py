@@ -5,26 +5,22 @@ import random
 
 from pyspark.sql import functions as F
 
-from opinionlens.llm.langid import BLOCK, CrossParser, LanguageSamples, identify_languages, sample_languages
+from opinionlens.llm.langid import CrossParser, LanguageSamples, identify_languages, sample_languages
 
 
 def plain_phrases(parser, text, sample):
-    """Longest matches by searching the codes of the sample as bytes."""
-    codes, learned = parser.encode(text).tobytes(), parser.encode(sample).tobytes()
-    count = 0
-    for at in range(0, len(codes), BLOCK):
-        block = codes[at : at + BLOCK]
-        count, i = count + 1, 0
-        start = 0
-        while i < len(block):
-            if block[start : i + 1] in learned:
-                i += 1
-                continue
-            count += 1
+    """Longest matches by searching the codes of the sample as characters."""
+    codes, learned = ("".join(map(chr, parser.encode(x))) for x in (text, sample))
+    count, start, i = 1 if codes else 0, 0, 0
+    while i < len(codes):
+        if codes[start : i + 1] in learned:
+            i += 1
+            continue
+        count += 1
+        start = i
+        if codes[i] not in learned:
+            i += 1
             start = i
-            if block[start : i + 1] not in learned:
-                i += 1
-                start = i
     return count
 
 
@@ -38,8 +34,9 @@ def samples():
 def test_phrases_match_plain_search():
     kinds, make = samples()
     learned = LanguageSamples(tuple((k, make(s, 300)) for k, s in kinds.items()))
-    parser = CrossParser(learned)
+    parser = CrossParser(learned.texts)
     texts = [make(kinds["aa"], 700), make(kinds["bb"], 40), "Ω Ω!! 12 🙂", "", "TA ke. lo", make(kinds["cc"], 90) + " x" * 600]
+    texts += [learned.texts[1][1] * 3, make(kinds["bb"], 5000), learned.texts[0][1][5:700] + "Ω" + learned.texts[2][1]]
     got, letters = parser.phrases(texts)
     for row, (_, sample) in enumerate(learned.texts):
         for i, text in enumerate(texts):
@@ -65,5 +62,23 @@ def test_accuracy_and_edge_cases(spark):
 
 
 def test_weights_follow_the_length_of_what_was_learned():
-    parser = CrossParser(LanguageSamples((("a", "ab" * 500), ("b", "ab"))))
+    parser = CrossParser((("a", "ab" * 500), ("b", "ab")))
     assert math.isclose(parser.weights[0], math.log2(1000)) and parser.weights[1] == 1.0
+
+
+def test_large_alphabets(spark):
+    """Two languages of a thousand letters each, none shared, beside two of Latin letters."""
+    r = random.Random(5)
+    signs = {"han1": [chr(0x4E00 + i) for i in range(1000)], "han2": [chr(0x6000 + i) for i in range(1000)]}
+    kinds = signs | {"aa": ["ta", "ke", "lo"], "bb": ["zu", "shé", "ri", "ta"]}
+    rows = [(i, "".join(r.choices(kinds[k], k=60)) + "。" + "".join(r.choices(kinds[k], k=60)), k) for i, k in enumerate(list(kinds) * 60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = identify_languages(df, sample_languages(df, F.col("doc_id") % 5 != 2)).filter("doc_id % 5 = 2").collect()
+    assert sum(x.lang == x.lang_pred for x in got) >= 0.95 * len(got)
+
+
+def test_ties_repeated_rows_and_very_long_texts(spark):
+    learned = LanguageSamples((("x", "same text"), ("y", "same text")))
+    rows = [(1, "same text"), (1, "same text"), (2, "text same " * 60_000)]
+    got = identify_languages(spark.createDataFrame(rows, "doc_id bigint, text string"), learned).collect()
+    assert [r.lang_pred for r in got] == ["x"] * 3 and {r.score for r in got} == {0.0}

@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter
 
-from opinionlens.llm.licences import NOTICES, scan_licences, terms_of
+from opinionlens.llm.licences import ANCHOR, HEADERS, NAMED, NOTICES, full_texts, scan_licences, spdx_licence, terms_of
 
 
 def brute(files, threshold=0.7):
@@ -18,6 +18,28 @@ def brute(files, threshold=0.7):
         size = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
         return sum(x * b.get(t, 0) for t, x in a.items()) / size if size else 0
 
+    short, full = [*NOTICES, *HEADERS], full_texts()
+    every = {t for _, x in [*short, *full] for t in terms_of(x)}
+    wide = lambda t: 1 + math.log((1 + n) / (1 + (df[t] if t in every else 0)))
+    weighted = lambda terms: {t: c * wide(t) for t, c in Counter(terms).items()}
+
+    def windows(text):
+        """Nearest template over all windows of its length; notices and headers must name their licence."""
+        if not ANCHOR.search(text):
+            return (0, None)
+        if spdx := spdx_licence(text):
+            return (1.0, spdx)
+        terms, best = terms_of(text), (0, None)
+        for k, (licence, template) in enumerate([*short, *full]):
+            *groups, never = NAMED[licence] if k < len(short) else ((),)
+            own = weighted(terms_of(template))
+            size = min(len(terms), len(terms_of(template)))
+            for i in range(len(terms) - size + 1):
+                window = terms[i : i + size]
+                if all(set(g) & set(window) for g in groups) and not set(never) & set(window):
+                    best = max(best, (round(cosine(weighted(window), own), 12), licence), key=lambda x: x[0])
+        return best
+
     found = []
     for path, text in files:
         name = path.split("/")[-1].lower() if path else ""
@@ -28,6 +50,7 @@ def brute(files, threshold=0.7):
                 c = round(cosine(vector(unit), vector(notice)), 12)
                 if c > best[0]:
                     best = (c, licence)
+        best = max(best, windows(text or ""), key=lambda x: x[0])
         found.append(best[1] if best[0] >= threshold else None)
     given = {}
     for (path, _), own in sorted(zip(files, found), key=lambda x: (x[0][0] or "", str(x))):
@@ -56,6 +79,8 @@ def test_matches_plain_version(spark):
             lines.insert(r.randrange(len(lines) + 1), r.choice(NOTICES)[1].upper() + r.choice(["", " Thanks to all."]))
         name = f"LICENSE-{i:03}" if r.random() < 0.1 else f"f{i:03}.txt"
         files.append((f"{folder}/{name}" if folder else name, "\n".join(lines)))
+    files += [("d/e/tag.c", "// SPDX-License-Identifier: GPL-2.0-or-later\nalpha"), ("d/LICENSE", full_texts()[0][1])]
+    files += [("a/b/head.c", HEADERS[1][1].replace(" of ", "\n// of ")), ("a/b/long.c", "alpha beta " * 20 + HEADERS[6][1])]
     files += [("a/x.txt", None), ("d/y.txt", ""), (None, "Released under the MIT License."), (None, "nothing")]
     df = spark.createDataFrame(files, "path string, text string").repartition(4)
     got = scan_licences(df).select("path", "own_licence", "licence", "licence_dir").collect()

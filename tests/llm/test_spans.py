@@ -3,36 +3,53 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from opinionlens.llm.spans import MAX_SENTENCE, dedup_spans
+from opinionlens.llm.spans import QUIET, WINDOW, dedup_spans
+from opinionlens.llm.texthash import words_of
+
+
+def word_hashes(words):
+    """The operator's own hash of each word, on which cuts inside a long sentence depend."""
+    return [int(h) for h in words_of(pa.array([" ".join(words)], pa.large_string()), lower=False).hashes]
 
 
 def sentences(text):
     """(words, raw) of each sentence; raw has the white space behind it."""
-    found, own = [], None
-    for m in re.finditer(r"[^ \t-\r]+[ \t-\r]*", text):
-        word = m[0].rstrip(" \t\n\x0b\x0c\r")
-        if own is None or len(own[0]) == MAX_SENTENCE:
-            own = ([], [])
-            found.append(own)
-        own[0].append(word)
-        own[1].append(m[0])
-        if (word[-1] in ".!?" and m[0] != word) or "\n" in m[0][len(word) :]:
-            own = None
-    return [(tuple(w), "".join(r)) for w, r in found]
+    found = [(m[0].rstrip(" \t\n\x0b\x0c\r"), m[0]) for m in re.finditer(r"[^ \t-\r]+[ \t-\r]*", text)]
+    words = [w for w, _ in found]
+    ends = {i + 1 for i, (w, raw) in enumerate(found) if (w[-1] in ".!?" and raw != w) or "\n" in raw[len(w) :]}
+    ends |= {0, len(found)}
+    hashes = word_hashes(words) if words else []
+    windows = [range(i, i + WINDOW) for i in range(len(words) - WINDOW + 1)]
+    least = {i for own in windows for i in own if hashes[i] == min(hashes[j] for j in own)}
+    near = lambda cut: any(abs(cut - e) <= QUIET for e in ends)
+    cuts = sorted(ends | {i + 1 for i in least if i + 1 < len(words) and not near(i + 1)})
+    return [(tuple(words[a:b]), "".join(raw for _, raw in found[a:b])) for a, b in zip(cuts, cuts[1:])]
 
 
 def brute(docs, min_sentences=2, min_words=20):
+    """The shortest runs from each sentence on and up to it, compared by their words; test_spans_runs.py has all runs."""
     spans = {}
     for doc_id, text in sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0)):
         own = sentences(text or "")
+        shortest = set()
         for i in range(len(own)):
-            for j in range(i + min_sentences, len(own) + 1):
-                words = tuple(w for s in own[i:j] for w in s[0])
-                if len(words) >= min_words:
-                    spans.setdefault(words, []).append((doc_id, text, i, j))
+            size = 0
+            for j in range(i + 1, len(own) + 1):
+                size += len(own[j - 1][0])
+                if j - i >= min_sentences and size >= min_words:
+                    shortest.add((i, j))
+                    break
+            size = 0
+            for j in range(i, -1, -1):
+                size += len(own[j][0])
+                if i + 1 - j >= min_sentences and size >= min_words:
+                    shortest.add((j, i + 1))
                     break
+        for i, j in sorted(shortest):
+            spans.setdefault(tuple(w for s in own[i:j] for w in s[0]), []).append((doc_id, text, i, j))
     gone = {}
     for places in spans.values():
         for doc_id, text, i, j in places[1:]:

@@ -500,10 +500,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _corpus_part(name: str):
-    """A module of the corpus operators, or None where it was taken out."""
-    top, _, rest = name.partition(".")
-    package = f"{top}.{rest.split('.')[0]}" if rest else top
-    return importlib.import_module(name) if importlib.util.find_spec(package) else None
+    """A module of the corpus operators, or None where their folder was taken out.
+
+    The pipeline at the top is made of these operators, so it goes with them. What
+    is left of the folder may still be found as a namespace without a file.
+    """
+    folder = importlib.util.find_spec("opinionlens.llm")
+    if folder is None or folder.origin is None or importlib.util.find_spec(name) is None:
+        return None
+    return importlib.import_module(name)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinionlens.llm import q_bpe, q_jaccard, q_kneser_ney, q_langid, q_licences, q_neighbours, q_packing, q_periodic, q_quality, q_spans, q_urls
+from opinionlens.llm import q_bpe, q_jaccard, q_kneser_ney, q_langid, q_lexical, q_licences, q_neighbours, q_packing, q_periodic, q_quality, q_spans, q_urls
 
 QUERIES = {
     "op1_quality_rules": q_quality.op1_quality_rules,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_licence_scan": q_licences.op9_licence_scan,
     "op10_packing": q_packing.op10_packing,
     "op12_periodic_runs": q_periodic.op12_periodic_runs,
+    "op13_lexical_search": q_lexical.op13_lexical_search,
 }
 
 ORACLES = {
     "op1_quality_rules": q_quality.ORACLE,
     "op2_url_filter": q_urls.ORACLE,
     "op4_jaccard_join": q_jaccard.ORACLE,
+    "op13_lexical_search": q_lexical.ORACLE,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinionlens.llm import q_bpe, q_jaccard, q_kneser_ney, q_langid, q_lexical, q_licences, q_neighbours, q_packing, q_periodic, q_quality, q_spans, q_urls
+from opinionlens.llm import q_bpe, q_jaccard, q_kneser_ney, q_langid, q_lexical, q_licences, q_neighbours, q_packing, q_periodic, q_quality, q_spans, q_urls, q_wrappers
 
 QUERIES = {
     "op1_quality_rules": q_quality.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_nearest_neighbours": q_neighbours.op8_nearest_neighbours,
     "op9_licence_scan": q_licences.op9_licence_scan,
     "op10_packing": q_packing.op10_packing,
+    "op11_html_extraction": q_wrappers.op11_html_extraction,
     "op12_periodic_runs": q_periodic.op12_periodic_runs,
     "op13_lexical_search": q_lexical.op13_lexical_search,
 }

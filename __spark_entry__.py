@@ -6,6 +6,7 @@ import importlib
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
@@ -24,11 +25,12 @@ from opinionlens.functions.text import clean_text, join_tokens, truncate_tokens
 from opinionlens.operators import emotion, explore, features, keywords, sentiment, store  # noqa: E402
 from opinionlens.operators.report import report_requests, search_report  # noqa: E402
 from opinionlens.operators.scaling import bounded_join  # noqa: E402
+from opinionlens.operators.search_index import SearchIndex  # noqa: E402
 from opinionlens.operators.segment import segment  # noqa: E402
 from opinionlens.operators.stopwords import stopword_filter as remove_stopwords  # noqa: E402
 from opinionlens.operators.topics import TopicModel, fit_topics  # noqa: E402
 from opinionlens.plans.opinion import Config, analyse  # noqa: E402
-from opinionlens.session import materialize, spread  # noqa: E402
+from opinionlens.session import materialize, shared_dir, spread  # noqa: E402
 from opinionlens.sources import pages as html_pages  # noqa: E402
 from opinionlens.sources import posts as collected  # noqa: E402
 from opinionlens.sources.files import union_words  # noqa: E402
@@ -349,6 +351,31 @@ def q_search(spark: SparkSession, sf: str) -> DataFrame:
     return _listed(explore.search(_results(spark, sf), KEYWORD))
 
 
+def _search_index(spark: SparkSession, sf: str) -> SearchIndex:
+    index = SearchIndex(spark, f"{shared_dir(spark).rstrip('/')}/search-{uuid.uuid4().hex}")
+    results = materialize(_results(spark, sf))
+    # Two loads, as a table grows; they share a block of ids.
+    half = F.pmod(F.col("id"), F.lit(2)) == 0
+    index.add(results.filter(half))
+    index.add(results.filter(~half))
+    return index
+
+
+def q_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of ``search``, read through the index."""
+    return _listed(explore.search(_search_index(spark, sf).rows_for(KEYWORD), KEYWORD))
+
+
+def q_search_summary_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    return explore.search_summary(_search_index(spark, sf).rows_for(KEYWORD), KEYWORD)
+
+
+def q_search_same_topic_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    index = _search_index(spark, sf)
+    found = explore.same_topic(index.rows(), KEYWORD, candidates=index.rows_for(KEYWORD))
+    return found.select("id", "text", "dominant_topic", "sentiment_label")
+
+
 def q_search_same_topic(spark: SparkSession, sf: str) -> DataFrame:
     return explore.same_topic(_results(spark, sf), KEYWORD).select("id", "text", "dominant_topic", "sentiment_label")
 
@@ -685,6 +712,9 @@ SAME_RESULT = {
     "keyword_cosine_blocks": "keyword_cosine_topk",
     "stopword_filter_joined": "stopword_filter",
     "sentiment_score_joined": "sentiment_score",
+    "search_indexed": "search",
+    "search_summary_indexed": "search_summary",
+    "search_same_topic_indexed": "search_same_topic",
 }
 
 

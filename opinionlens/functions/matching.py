@@ -15,6 +15,11 @@ def fold_ascii(c: Column) -> Column:
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def fold_keyword(keyword: str) -> str:
+    """The trimmed keyword, folded like the columns."""
+    return "".join(ch.lower() if ch in string.ascii_uppercase else ch for ch in keyword.strip())
+
+
 def contains_keyword(columns: Sequence[str], keyword: str, literal: bool = False) -> Column:
     """True where any column holds the trimmed keyword; null where none can tell.
 
@@ -22,7 +27,7 @@ def contains_keyword(columns: Sequence[str], keyword: str, literal: bool = False
     no escape character; ``literal=True`` takes the keyword as plain text.
     A blank keyword matches every row with at least one non-null column.
     """
-    folded = "".join(ch.lower() if ch in string.ascii_uppercase else ch for ch in keyword.strip())
+    folded = fold_keyword(keyword)
     if literal:
         hits = [F.contains(fold_ascii(F.col(c)), F.lit(folded)) for c in columns]
     else:

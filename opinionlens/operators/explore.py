@@ -85,13 +85,15 @@ def same_topic(
     id_col: str = "id",
     literal: bool = False,
     exclude_hits: bool = False,
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
     """All rows of the topic of the first hit, the hits included by default.
 
-    The first hit is one row by construction, so its broadcast is bounded;
+    The first hit is looked for in ``candidates`` where a search index gives
+    them, else in all rows. The first hit is one row by construction, so its broadcast is bounded;
     on a table partitioned by topic it also prunes the other partitions.
     """
-    first = hits(results, keyword, literal).agg(F.min_by("dominant_topic", id_col).alias("dominant_topic"))
+    first = hits(results if candidates is None else candidates, keyword, literal).agg(F.min_by("dominant_topic", id_col).alias("dominant_topic"))
     out = results
     if exclude_hits:
         hit = contains_keyword(("text", *KEYWORD_COLUMNS), keyword, literal)

@@ -28,7 +28,7 @@ from opinionlens.operators.scaling import bounded_join  # noqa: E402
 from opinionlens.operators.search_index import SearchIndex  # noqa: E402
 from opinionlens.operators.segment import segment  # noqa: E402
 from opinionlens.operators.stopwords import stopword_filter as remove_stopwords  # noqa: E402
-from opinionlens.operators.topics import TopicModel, fit_topics  # noqa: E402
+from opinionlens.operators.word_topics import WordTopics, fit_word_topics  # noqa: E402
 from opinionlens.plans.opinion import Config, analyse  # noqa: E402
 from opinionlens.session import materialize, shared_dir, spread  # noqa: E402
 from opinionlens.sources import pages as html_pages  # noqa: E402
@@ -243,15 +243,15 @@ def q_word2vec_keywords(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- topics -------------------------------------------------------------
 
-_MODELS: dict[tuple[str, str], tuple[DataFrame, TopicModel]] = {}
+_MODELS: dict[tuple[str, str], tuple[DataFrame, WordTopics]] = {}
 
 
-def _topics(spark: SparkSession, sf: str) -> tuple[DataFrame, TopicModel]:
+def _topics(spark: SparkSession, sf: str) -> tuple[DataFrame, WordTopics]:
     """Fit once per session and data folder; five queries read the model."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         tokens = materialize(_filtered(spark, sf).select("doc_id", F.col("filtered").alias("tokens")))
-        _MODELS[key] = (tokens, fit_topics(tokens, k=4, passes=20))
+        _MODELS[key] = (tokens, fit_word_topics(tokens, k=4, passes=20))
     return _MODELS[key]
 
 
@@ -270,6 +270,12 @@ def q_topic_terms(spark: SparkSession, sf: str) -> DataFrame:
     return _topics(spark, sf)[1].terms(20)
 
 
+def q_topic_step(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word's weights after one iteration of the topic model."""
+    model = fit_word_topics(_tokens(spark, sf), k=3, passes=1, inner=1)
+    return model.weights().select("word", "topic", F.round("weight", 9).alias("weight"))
+
+
 def q_topic_terms_wide(spark: SparkSession, sf: str) -> DataFrame:
     return _topics(spark, sf)[1].terms_wide(20)
 
@@ -510,15 +516,19 @@ def q_emotion_predict(spark: SparkSession, sf: str) -> DataFrame:
 # --- the whole chain ----------------------------------------------------
 
 
-def q_opinion_results(spark: SparkSession, sf: str) -> DataFrame:
+def _opinions(spark: SparkSession, sf: str, with_keywords: bool) -> DataFrame:
     comments = _documents(spark, sf).withColumnRenamed("text", "content")
     _, model = _nb(spark, sf)
-    results, _ = analyse(comments, model, Config(stopwords=_stopwords(spark, sf), vector_size=32))
+    results, _ = analyse(comments, model, Config(stopwords=_stopwords(spark, sf), vector_size=32, keywords=with_keywords))
     return results
 
 
+def q_opinion_results(spark: SparkSession, sf: str) -> DataFrame:
+    return _opinions(spark, sf, with_keywords=True)
+
+
 def q_opinion_by_topic(spark: SparkSession, sf: str) -> DataFrame:
-    return sentiment.sentiment_by_topic(q_opinion_results(spark, sf))
+    return sentiment.sentiment_by_topic(_opinions(spark, sf, with_keywords=False))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -759,6 +769,7 @@ def _own_sql() -> dict[str, str]:
             SELECT doc_id, max(CASE WHEN rank = 1 THEN keyword END) AS keyword1,
               max(CASE WHEN rank = 2 THEN keyword END) AS keyword2, max(CASE WHEN rank = 3 THEN keyword END) AS keyword3,
               max(CASE WHEN rank = 1 THEN similarity END) AS similarity_score FROM top GROUP BY doc_id""",
+        "topic_step": _sql_topic_step(),
         "dominant_topic": f"SELECT vec_id, dominant_topic FROM {_TOPICS}",
         "sentiment_label": f"""WITH {_EVENTS}
             SELECT id, {_sql_label("round(sentiment_score, 6)")} AS sentiment_label FROM ev""",
@@ -855,6 +866,27 @@ def _own_sql() -> dict[str, str]:
     }
 
 
+def _sql_topic_step() -> str:
+    """One update of the texts' topics and one of the words', for three topics."""
+    shares = ", ".join(f"0.5 + ('0x' || substr(md5(word || ':{t}'), 1, 4))::INTEGER / 65536.0::DOUBLE AS s{t}" for t in range(3))
+    total = "(s0 + s1 + s2)"
+    start = ", ".join(f"cnt * s{t} / {total} AS n{t}" for t in range(3))
+    third, n_words = "(1.0::DOUBLE / 3)", "(SELECT count(*) FROM vocab)"
+    likely = ", ".join(f"(n{t} + {third}) / ((SELECT sum(n{t}) FROM started) + {n_words} * {third}) AS p{t}" for t in range(3))
+    mixed = ", ".join(f"bag.cnt * (n / 3 + {third}) * p{t} / ((n / 3 + {third}) * (p0 + p1 + p2)) AS c{t}" for t in range(3))
+    again = " + ".join(f"(t{t} + {third}) * p{t}" for t in range(3))
+    words = ", ".join(f"sum(bag.cnt * (t{t} + {third}) * p{t} / ({again})) AS w{t}" for t in range(3))
+    out = " UNION ALL ".join(
+        f"SELECT word, {t} AS topic, round((w{t} + {third}) / ((SELECT sum(w{t}) FROM new) + {n_words} * {third}), 9) AS weight FROM new" for t in range(3)
+    )
+    return f"""WITH {_VOCAB}, shared AS (SELECT word, cnt, {shares} FROM vocab), started AS (SELECT word, {start} FROM shared),
+        likely AS MATERIALIZED (SELECT word, {likely} FROM started), sizes AS (SELECT doc_id, sum(cnt)::DOUBLE AS n FROM bag GROUP BY doc_id),
+        mixed AS (SELECT doc_id, {mixed} FROM bag JOIN likely USING (word) JOIN sizes USING (doc_id)),
+        theta AS MATERIALIZED (SELECT doc_id, sum(c0) AS t0, sum(c1) AS t1, sum(c2) AS t2 FROM mixed GROUP BY doc_id),
+        new AS MATERIALIZED (SELECT word, {words} FROM bag JOIN likely USING (word) JOIN theta USING (doc_id) GROUP BY word)
+        SELECT word, topic::INTEGER AS topic, weight FROM ({out})"""
+
+
 def _sql_names(class_id: str) -> str:
     names = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(emotion.EMOTIONS))
     return f"CASE {class_id} {names} ELSE 'class' || {class_id} END"

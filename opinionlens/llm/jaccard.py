@@ -42,6 +42,8 @@ from opinionlens.session import materialize
 MAX_BROADCAST_ROWS = 500_000
 #: Members of one pivot that one task compares.
 PIVOT_MEMBERS = 2_000
+#: Members of one part of a long list; a task compares one part with itself or with another one.
+LIST_MEMBERS = 2_000
 GROWTH = 1.6
 
 
@@ -306,10 +308,21 @@ def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sets: Dat
     known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "difference")
     left = materialize(rooted.join(_few(torn), "sig"))
     rows = left.join(known, ["pivot", "cls"], "left").join(sets.select("cls", "n", "sketch").dropDuplicates(["cls"]), "cls")
-    ready = rows.select("sig", "cls", "root", "n", F.coalesce("difference", F.lit(0).cast("long")).alias("d"), "sketch")
-    ready = ready.repartition("sig").sortWithinPartitions("sig", "n", "cls")
-
-    def answer(cls: np.ndarray, root: np.ndarray, n: np.ndarray, d: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    # A long list is cut into parts; a member meets each part, its own included, in a task of its own.
+    long = left.groupBy("sig").agg(F.ceil(F.count("*") / LIST_MEMBERS).cast("int").alias("parts")).filter("parts > 1")
+    rows = rows.join(_few(materialize(long)), "sig", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("cls"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    ready = rows.select(
+        "sig",
+        F.least("part", "other").alias("i"),
+        F.greatest("part", "other").alias("j"),
+        "part", "cls", "root", "n",
+        F.coalesce("difference", F.lit(0).cast("long")).alias("d"),
+        "sketch",
+    )
+    ready = ready.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "n", "cls")
+
+    def answer(part: np.ndarray, both: bool, cls: np.ndarray, root: np.ndarray, n: np.ndarray, d: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         words = folded(sketches)
         left_, right = [], []
         best = np.full(len(cls), np.iinfo(np.int64).max)
@@ -317,6 +330,7 @@ def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sets: Dat
         for i in range(len(cls) - 1):
             end = np.searchsorted(n, 100 * n[i] // join.percent, side="right")  # larger ones cannot link
             other = np.arange(i + 1, end)
+            other = other[part[other] != part[i]] if both else other  # those of one part meet in its own task
             limit = (100 - join.percent) * (n[i] + n[other]) // (100 + join.percent)
             other, limit = (x[(root[other] != root[i]) & (np.abs(d[other] - d[i]) <= limit)] for x in (other, limit))
             apart = np.bitwise_count(words[other] ^ words[i]).sum(axis=1, dtype=np.int64)
@@ -347,14 +361,16 @@ def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sets: Dat
                 held = table if held is None else pa.concat_tables([held, table])
             if held is None or not held.num_rows:
                 continue
-            sig = held["sig"].to_numpy()
-            bounds = np.append(np.flatnonzero(np.append(True, sig[1:] != sig[:-1])), len(sig))
+            keys = [held[c].to_numpy() for c in ("sig", "i", "j")]
+            new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+            bounds = np.append(np.flatnonzero(np.append(True, new)), len(keys[0]))
             whole = len(bounds) - 1 - (batch is not None)  # the last list may go on
             found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for i in range(whole):
                 own = held.slice(bounds[i], bounds[i + 1] - bounds[i])
                 columns = [own[c].to_numpy() for c in ("cls", "root", "n", "d")]
-                found.append(answer(*columns, own["sketch"].to_pylist()))
+                both = bool(keys[1][bounds[i]] != keys[2][bounds[i]])
+                found.append(answer(own["part"].to_numpy(), both, *columns, own["sketch"].to_pylist()))
             a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
             pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])

@@ -40,3 +40,18 @@ def test_contained_sets(spark):
 def test_percent_is_checked():
     with pytest.raises(ValueError):
         SetJoin(percent=0)
+
+
+def test_long_lists_in_parts(spark, monkeypatch):
+    """Lists cut into parts of three members give the same components."""
+    from opinionlens.llm import jaccard
+
+    r = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(120))
+    docs = [(i, passage + " " + " ".join(f"x{r.randrange(4000)}" for _ in range(r.choice([3, 6, 14])))) for i in range(60)]
+    docs += [(100 + i, " ".join(f"a{r.randrange(3)}" for _ in range(r.randrange(3, 12)))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    expect = sorted(brute(docs))
+    for size in (3, 2000):
+        monkeypatch.setattr(jaccard, "LIST_MEMBERS", size)
+        assert sorted(map(tuple, jaccard.jaccard_components(df).collect())) == expect

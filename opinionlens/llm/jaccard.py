@@ -11,7 +11,8 @@ only where nothing else stands beside it.
 Each list is answered in three steps, and classes already in one component are
 not compared again:
 
-1. every member is compared with the list's first one, the pivot;
+1. every member is compared with the list's first one, the pivot (or is in its
+   component already, by the pivot of another list);
 2. members not linked with it are compared with the member of another component
    that a parity sketch shows as nearest;
 3. what is left of other components is compared member by member, but only where
@@ -317,7 +318,8 @@ def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sets: Dat
         F.least("part", "other").alias("i"),
         F.greatest("part", "other").alias("j"),
         "part", "cls", "root", "n",
-        F.coalesce("difference", F.lit(0).cast("long")).alias("d"),
+        # Distance from the pivot; -1 where they were not compared.
+        F.when(F.col("cls") == F.col("pivot"), F.lit(0)).otherwise(F.coalesce("difference", F.lit(-1))).cast("long").alias("d"),
         "sketch",
     )
     ready = ready.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "n", "cls")
@@ -332,7 +334,8 @@ def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sets: Dat
             other = np.arange(i + 1, end)
             other = other[part[other] != part[i]] if both else other  # those of one part meet in its own task
             limit = (100 - join.percent) * (n[i] + n[other]) // (100 + join.percent)
-            other, limit = (x[(root[other] != root[i]) & (np.abs(d[other] - d[i]) <= limit)] for x in (other, limit))
+            near = (d[other] < 0) | (d[i] < 0) | (np.abs(d[other] - d[i]) <= limit)
+            other, limit = (x[(root[other] != root[i]) & near] for x in (other, limit))
             apart = np.bitwise_count(words[other] ^ words[i]).sum(axis=1, dtype=np.int64)
             other, apart = other[apart <= limit], apart[apart <= limit]
             if not len(other):
@@ -393,7 +396,16 @@ def similar_classes(docs: DataFrame, member: DataFrame, join: SetJoin, text: str
     wanted = materialize(reps.join(listed, "cls").select(key))
     sets = materialize(class_sets(docs.select(key, text), wanted, join, key, text))
     star = materialize(lists.filter("cls <> pivot").select(F.least("pivot", "cls").alias("a"), F.greatest("pivot", "cls").alias("b")).distinct())
-    answers = materialize(compare(star, sets, join))
+    # A class is first compared with one pivot; with its others only where that has not joined them.
+    first = materialize(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    answers = materialize(compare(first, sets, join))
+    roots = _few(materialize(components(answers.filter("linked"))))
+    rest = star.join(first, ["a", "b"], "left_anti")
+    for side in ("a", "b"):
+        rest = rest.join(roots.select(F.col("cls").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    rest = materialize(rest.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
+    if not rest.isEmpty():
+        answers = materialize(answers.unionByName(compare(rest, sets, join)))
     for nearest in (True, False):
         roots = materialize(components(answers.filter("linked")))
         more = open_pairs(lists, roots, answers, sets, join, nearest)

@@ -28,6 +28,7 @@ from opinionlens.operators.scaling import bounded_join  # noqa: E402
 from opinionlens.operators.search_index import SearchIndex  # noqa: E402
 from opinionlens.operators.segment import segment  # noqa: E402
 from opinionlens.operators.stopwords import stopword_filter as remove_stopwords  # noqa: E402
+from opinionlens.operators.unknown_words import count_places, place_model  # noqa: E402
 from opinionlens.operators.word_topics import WordTopics, fit_word_topics  # noqa: E402
 from opinionlens.plans.opinion import Config, analyse  # noqa: E402
 from opinionlens.session import materialize, shared_dir, spread  # noqa: E402
@@ -40,6 +41,9 @@ cloudpickle.register_pickle_by_value(opinionlens)
 
 KEYWORD = "Tion"
 ABSENT_KEYWORD = "no such words here"
+# Letters that words of the documents are made of, and the share of documents a word of the partial lexicon is in.
+LETTERS = "a-zß-öø-ÿœ"
+LEXICON_SHARE = 0.005
 SUBJECT = "health care reform"
 STOP_SHARE = 0.05
 # All 64 components in four blocks: a vector's weight in each of four topics.
@@ -156,6 +160,21 @@ def q_segment(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select("doc_id", F.size("tokens").alias("n"), join_tokens("tokens", " ").alias("cut_content"))
 
 
+def q_unknown_word_places(spark: SparkSession, sf: str) -> DataFrame:
+    return count_places(_tokens(spark, sf), LETTERS)
+
+
+def q_segment_unknown(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts without their blanks, cut by a lexicon of frequent words and, where it has none, by the places of characters."""
+    tokens = materialize(_tokens(spark, sf))
+    n_docs = tokens.count()
+    lexicon = features.vocabulary(tokens).filter(F.col("df") >= LEXICON_SHARE * n_docs).select("word", F.col("cnt").alias("freq"))
+    model = place_model(count_places(tokens, LETTERS))
+    run = tokens.select("doc_id", F.size("tokens").alias("n_given"), join_tokens("tokens", "").alias("cleaned_content"))
+    cut = segment(spread(run, "doc_id"), lexicon, places=model, letters=LETTERS)
+    return cut.select("doc_id", "n_given", F.size("tokens").alias("n"), join_tokens("tokens", " ").alias("cut_content"))
+
+
 def q_stopword_union(spark: SparkSession, sf: str) -> DataFrame:
     docs = features.vocabulary(_tokens(spark, sf)).select("word")
     items = features.vocabulary(_benchmark_words(spark, sf)).select("word")
@@ -591,6 +610,22 @@ kept AS (
   WHERE word NOT IN (SELECT word FROM stop) GROUP BY doc_id),
 filt AS (SELECT tok.doc_id, coalesce(kept.filtered, []) AS filtered FROM tok LEFT JOIN kept USING (doc_id))"""
 
+_LETTER_WORD = f"regexp_full_match({{}}, '[{LETTERS}]+')"
+_PLACE = "CASE WHEN length(word) = 1 THEN 'S' WHEN {k} = 1 THEN 'B' WHEN {k} = length(word) THEN 'E' ELSE 'M' END"
+_PLACES = f"""tok AS ({_sql_tokens("documents", "doc_id")}),
+placed AS (SELECT doc_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS i FROM tok),
+led AS (SELECT word, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM placed),
+own AS (
+  SELECT word, CASE WHEN {_LETTER_WORD.format("before")} THEN CASE WHEN length(before) = 1 THEN 'S' ELSE 'E' END END AS after, count(*) AS n
+  FROM led WHERE {_LETTER_WORD.format("word")} GROUP BY ALL),
+lettered AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM own),
+found AS (
+  SELECT CASE WHEN after IS NULL THEN 'start' ELSE 'step' END AS kind, coalesce(after, {_PLACE.format(k=1)}) AS place,
+    CASE WHEN after IS NULL THEN '' ELSE {_PLACE.format(k=1)} END AS item, n FROM own
+  UNION ALL SELECT 'step', {_PLACE.format(k="k")}, {_PLACE.format(k="(k + 1)")}, n FROM lettered WHERE k < length(word)
+  UNION ALL SELECT 'char', {_PLACE.format(k="k")}, substr(word, k, 1), n FROM lettered)
+SELECT kind, place, item, CAST(sum(n) AS BIGINT) AS n FROM found GROUP BY ALL"""
+
 _TRIPLES = """
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cnt DESC, word) AS rk FROM bag),
 triples AS (
@@ -745,6 +780,7 @@ def _own_sql() -> dict[str, str]:
             SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n, array_to_string(tokens, '|') AS tokens FROM tok""",
         "segment": f"""WITH tok AS ({_sql_tokens("documents", "doc_id")})
             SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n, array_to_string(tokens, ' ') AS cut_content FROM tok""",
+        "unknown_word_places": f"""WITH {_PLACES}""",
         "stopword_union": f"""WITH a AS ({_sql_tokens("documents", "doc_id")}), b AS ({_sql_tokens("benchmark", "item_id")})
             SELECT unnest(tokens) AS word FROM a UNION SELECT unnest(tokens) AS word FROM b""",
         "stopword_filter": f"""WITH {_STOP}

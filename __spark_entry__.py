@@ -23,6 +23,8 @@ import opinionlens  # noqa: E402
 from opinionlens.functions.ranking import dominant_index, sentiment_label  # noqa: E402
 from opinionlens.functions.text import clean_text, join_tokens, truncate_tokens  # noqa: E402
 from opinionlens.operators import emotion, explore, features, keywords, sentiment, store  # noqa: E402
+from opinionlens.operators.epochs import predict as predict_epoch  # noqa: E402
+from opinionlens.operators.epochs import train_epochs  # noqa: E402
 from opinionlens.operators.report import report_requests, search_report  # noqa: E402
 from opinionlens.operators.scaling import bounded_join  # noqa: E402
 from opinionlens.operators.search_index import SearchIndex  # noqa: E402
@@ -532,6 +534,19 @@ def q_emotion_predict(spark: SparkSession, sf: str) -> DataFrame:
     return emotion.predict_emotion(model, test).select("doc_id", "label", "predicted_label", "probability")
 
 
+def q_emotion_epochs(spark: SparkSession, sf: str) -> DataFrame:
+    samples = materialize(_emotion_samples(spark, sf))
+    return train_epochs(*emotion.train_test_split(samples)).epochs
+
+
+def q_emotion_best_epoch(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of the best epoch's stored weights for the held-out documents."""
+    samples = materialize(_emotion_samples(spark, sf))
+    train, test = emotion.train_test_split(samples)
+    said = predict_epoch(test, train_epochs(train, test).best())
+    return emotion.decode_labels(said, "prediction_id", "predicted_label").select("doc_id", "label", "predicted_label")
+
+
 # --- the whole chain ----------------------------------------------------
 
 

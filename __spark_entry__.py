@@ -25,6 +25,7 @@ from opinionlens.functions.text import clean_text, join_tokens, truncate_tokens
 from opinionlens.operators import emotion, explore, features, keywords, sentiment, store  # noqa: E402
 from opinionlens.operators.epochs import predict as predict_epoch  # noqa: E402
 from opinionlens.operators.epochs import train_epochs  # noqa: E402
+from opinionlens.operators.keyed_store import KeyedStore  # noqa: E402
 from opinionlens.operators.report import report_requests, search_report  # noqa: E402
 from opinionlens.operators.scaling import bounded_join  # noqa: E402
 from opinionlens.operators.search_index import SearchIndex  # noqa: E402
@@ -37,6 +38,7 @@ from opinionlens.session import materialize, shared_dir, spread  # noqa: E402
 from opinionlens.sources import pages as html_pages  # noqa: E402
 from opinionlens.sources import posts as collected  # noqa: E402
 from opinionlens.sources.files import union_words  # noqa: E402
+from opinionlens.streaming.overview import MaintainedOverview, rank_error  # noqa: E402
 
 # Workers may start in another folder, where the package cannot be imported.
 cloudpickle.register_pickle_by_value(opinionlens)
@@ -374,6 +376,52 @@ def q_overview_comments(spark: SparkSession, sf: str) -> DataFrame:
     return explore.overview(_results(spark, sf))[0]
 
 
+_OVERVIEWS: dict[tuple[str, str], tuple[DataFrame, MaintainedOverview]] = {}
+
+
+def _maintained(spark: SparkSession, sf: str) -> tuple[DataFrame, MaintainedOverview]:
+    """The result table as a stream of files, each merged as a batch; then a replay, a snapshot and a replay of what it covers."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _OVERVIEWS:
+        results = materialize(_results(spark, sf).repartition(4, "id"))
+        folder = f"{shared_dir(spark).rstrip('/')}/overview-{uuid.uuid4().hex}"
+        kept = MaintainedOverview(spark, f"{folder}/state")
+        files = spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 1).parquet(os.path.dirname(results.inputFiles()[0]))
+        stream = files.writeStream.foreachBatch(kept.merge).option("checkpointLocation", f"{folder}/stream")
+        stream.trigger(availableNow=True).start().awaitTermination()
+        kept.merge(results, 0)
+        kept.compact()
+        kept.merge(results, 1)
+        _OVERVIEWS[key] = (results, kept)
+    return _OVERVIEWS[key]
+
+
+def q_hot_keywords_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    return _maintained(spark, sf)[1].hot_keywords()
+
+
+def q_overview_comments_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    return _maintained(spark, sf)[1].sample_comments()
+
+
+def q_sentiment_by_topic_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    return _maintained(spark, sf)[1].sentiment_by_topic()
+
+
+def q_score_ranks_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and ends of each topic's scores, and whether the sketch's quartiles are within the bound in rank."""
+    results, kept = _maintained(spark, sf)
+    rows = results.filter(F.col("sentiment_score").isNotNull()).select("dominant_topic", "sentiment_score")
+    score, n = F.col("sentiment_score"), F.col("n")
+    close = [
+        (F.count_if(score < F.col(q)) <= (p + rank_error()) * F.max(n)) & (F.count_if(score <= F.col(q)) >= (p - rank_error()) * F.max(n))
+        for q, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    ]
+    sketched = bounded_join(rows, kept.score_quantiles(), "dominant_topic", "sentiment_score").filter(n.isNotNull())
+    named = [c.alias(f"{q}_close") for c, q in zip(close, ("q1", "median", "q3"), strict=True)]
+    return sketched.groupBy("dominant_topic").agg(F.max(n).alias("n"), F.max("low").alias("low"), F.max("high").alias("high"), *named)
+
+
 def q_search(spark: SparkSession, sf: str) -> DataFrame:
     return _listed(explore.search(_results(spark, sf), KEYWORD))
 
@@ -428,6 +476,16 @@ def q_store_append(spark: SparkSession, sf: str) -> DataFrame:
     return stored.union(store.append_rows(stored, docs))
 
 
+def q_keyed_store_append(spark: SparkSession, sf: str) -> DataFrame:
+    """The loads of ``store_append`` into a table with key buckets, and the first of them again."""
+    docs = _read(spark, sf, "documents").select("doc_id", "source")
+    labelled = docs.join(_read(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    table = KeyedStore(spark, f"{shared_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}", partition_by="source")
+    for batch in (labelled, docs, labelled):
+        table.append(batch)
+    return table.rows()
+
+
 def q_report_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return report_requests(materialize(_results(spark, sf).na.fill(-1, ["dominant_topic"])), SUBJECT)
 
@@ -772,6 +830,9 @@ SAME_RESULT = {
     "keyword_cosine_blocks": "keyword_cosine_topk",
     "stopword_filter_joined": "stopword_filter",
     "sentiment_score_joined": "sentiment_score",
+    "hot_keywords_maintained": "hot_keywords",
+    "overview_comments_maintained": "overview_comments",
+    "keyed_store_append": "store_append",
     "search_indexed": "search",
     "search_summary_indexed": "search_summary",
     "search_same_topic_indexed": "search_same_topic",
@@ -856,6 +917,14 @@ def _own_sql() -> dict[str, str]:
             SELECT keyword, count(*) AS count FROM u GROUP BY keyword
             ORDER BY count DESC, keyword ASC NULLS LAST LIMIT 20""",
         "overview_comments": f"WITH {_RESULTS} SELECT id, cut_content FROM results ORDER BY id LIMIT 10",
+        "sentiment_by_topic_maintained": f"""WITH {_RESULTS}
+            SELECT dominant_topic, count(*) FILTER (sentiment_label = 'Negative') AS Negative,
+              count(*) FILTER (sentiment_label = 'Neutral') AS Neutral, count(*) FILTER (sentiment_label = 'Positive') AS Positive
+            FROM results WHERE dominant_topic IS NOT NULL GROUP BY dominant_topic""",
+        "score_ranks_maintained": f"""WITH {_RESULTS}
+            SELECT dominant_topic, count(*) AS n, min(sentiment_score) AS low, max(sentiment_score) AS high,
+              true AS q1_close, true AS median_close, true AS q3_close
+            FROM results WHERE dominant_topic IS NOT NULL AND sentiment_score IS NOT NULL GROUP BY dominant_topic""",
         "search": f"WITH {_RESULTS}, {_LISTED} SELECT {', '.join(explore.RESULT_COLUMNS)} FROM listed_results WHERE {_sql_hit(KEYWORD)}",
         "search_same_topic": f"""WITH {_RESULTS},
             first_hit AS (SELECT dominant_topic FROM results WHERE {_sql_hit(KEYWORD)} ORDER BY id LIMIT 1)

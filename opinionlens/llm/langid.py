@@ -14,7 +14,7 @@ found there, from where on both are the same.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +28,8 @@ UNDETERMINED = "und"
 BLOCK = 512
 #: Cells of (language, character) that are parsed at once.
 CELLS = 8 << 20
+#: Largest array of transitions by state and code; beyond it they are hashed. Both give the same phrases.
+DENSE_BYTES = 128 << 20
 #: Codes: 0 what is no letter, 1 a letter that no labelled text has, from 2 on the alphabet.
 FIRST_LETTER = 2
 
@@ -97,7 +99,7 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 
 
 class Transitions:
-    """Sparse transitions of all automata as one open hash table of sorted-out arrays."""
+    """Transitions of all automata as one open hash table of sorted-out arrays, for alphabets of any size."""
 
     FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,6 +121,7 @@ class Transitions:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Target of each key; 0 where there is none."""
+        shape, keys = keys.shape, keys.ravel()
         slot = self._slot(keys)
         held = self.keys[slot]
         out = np.where(held == keys, self.targets[slot], 0)
@@ -131,7 +134,18 @@ class Transitions:
             out[left[hit]] = self.targets[slot[hit]]
             on = ~hit & (held >= 0)
             left, slot = left[on], slot[on]
-        return out
+        return out.reshape(shape)
+
+
+class DenseTransitions:
+    """The same as one array by state and code, which one gather reads."""
+
+    def __init__(self, keys: np.ndarray, targets: np.ndarray, cells: int):
+        self.targets = np.zeros(cells, np.int32)
+        self.targets[keys] = targets
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        return self.targets[keys]
 
 
 class CrossParser:
@@ -155,7 +169,12 @@ class CrossParser:
             self.weights.append(np.log2(max(len(codes), 2)))
             at += len(moves)
         empty = np.zeros(0, np.int64)
-        self.moves = Transitions(np.concatenate([*keys, empty]), np.concatenate([*targets, empty]).astype(np.int32))
+        all_keys, all_targets = np.concatenate([*keys, empty]), np.concatenate([*targets, empty]).astype(np.int32)
+        dense = 4 * at * self.width <= DENSE_BYTES
+        self.moves = DenseTransitions(all_keys, all_targets, at * self.width) if dense else Transitions(all_keys, all_targets)
+        codes = np.arange(self.width)
+        from_root = [np.where(t > 0, t, root) for root in self.roots for t in [self.moves.find(root * self.width + codes)]]
+        self.from_root = np.array(from_root, np.int64).reshape(-1)
 
     def encode(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -164,18 +183,14 @@ class CrossParser:
         keep[1:] = (codes[1:] > 0) | (codes[:-1] > 0)
         return codes[keep]
 
-    def step(self, state: np.ndarray, root: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def step(self, state: np.ndarray, lang: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """State after a code, and whether a new phrase begins with it.
 
         A code that the language never has is a phrase of its own; the next one starts at the root.
         """
         target = self.moves.find(state * self.width + code)
-        at = np.flatnonzero(target == 0)
-        again = self.moves.find(root[at] * self.width + code[at])
-        target[at] = np.where(again > 0, again, root[at])
-        missed = np.zeros(len(state), bool)
-        missed[at] = True
-        return target.astype(np.int64), missed
+        missed = target == 0
+        return np.where(missed, self.from_root[lang * self.width + code], target), missed
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases that each text needs in each language, and letters of each text."""
@@ -201,53 +216,60 @@ class CrossParser:
         begin = np.concatenate([np.arange(e - n, e, BLOCK) for n, e in zip(sizes, ends, strict=True)])
         rows = np.repeat(np.arange(len(sizes)), -(-sizes // BLOCK))
         length = np.minimum(BLOCK, ends[rows] - begin)
-        states, missed = np.zeros((n_langs, len(flat)), np.int32), np.zeros((n_langs, len(flat)), bool)
-        roots = np.array(self.roots, np.int64)
         order = np.argsort(-length, kind="stable")
         active = np.searchsorted(-length[order], -np.arange(BLOCK), side="left")  # blocks of over j codes
-        for lang in range(n_langs):
-            state, root = np.full(len(begin), roots[lang]), np.full(len(begin), roots[lang])
-            for j in range(int(length.max())):
-                m = active[j]
-                at = begin[order[:m]] + j
-                state[:m], new = self.step(state[:m], root[:m], flat[at])
-                states[lang, at], missed[lang, at] = state[:m], new
-        meet, more = self._carry_on(flat, begin, rows, ends, states)
-        before = np.concatenate([np.zeros((n_langs, 1), np.int64), np.cumsum(missed, axis=1)], axis=1)
-        total = 1 + before[:, ends] - before[:, ends - sizes]
+        # Cells lie by place in the block, then block from long to short, so that each step writes one run.
+        steps, place = np.concatenate([[0], np.cumsum(active)]), np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        states, begun = np.zeros((n_langs, len(flat)), np.int32), np.zeros((n_langs, len(flat)), np.int16)
+        langs = np.arange(n_langs)[:, None]
+        state = np.repeat(np.array(self.roots, np.int64)[:, None], len(begin), axis=1)
+        count, starts = np.zeros((n_langs, len(begin)), np.int16), begin[order]
+        for j in range(int(length.max())):
+            m = active[j]
+            state, new = self.step(state[:, :m], langs, flat[starts[:m] + j])
+            count = count[:, :m] + new
+            states[:, steps[j] : steps[j + 1]], begun[:, steps[j] : steps[j + 1]] = state, count
+        in_block = begun[:, steps[length - 1] + place].astype(np.int64)  # phrases begun in each block
+        meet, more = self._carry_on(flat, begin, rows, ends, lambda lang, block, at: states[lang, steps[at - begin[block]] + place[block]])
         first = np.searchsorted(rows, np.arange(len(sizes) + 1))
-        block_end = begin + length
-        for row in np.flatnonzero(np.diff(first) > 1):
-            for lang in range(n_langs):
-                block, count = first[row], 1 + before[lang, block_end[first[row]]] - before[lang, begin[first[row]]]
-                while block < first[row + 1] - 1:
-                    count += more[lang, block]
-                    if meet[lang, block] >= ends[row]:
-                        break
-                    place = meet[lang, block]
-                    block = first[row] + (place - begin[first[row]]) // BLOCK
-                    count += before[lang, block_end[block]] - before[lang, place + 1]
-                total[lang, row] = count
+        total = 1 + in_block[:, first[:-1]]
+        lang, row = (x.ravel() for x in np.indices(total.shape))
+        block = first[row]
+        on = np.flatnonzero(block < first[row + 1] - 1)
+        while len(on):
+            lang, row, block = lang[on], row[on], block[on]
+            total[lang, row] += more[lang, block]
+            at = meet[lang, block]
+            on = np.flatnonzero(at < ends[row])
+            lang, row, at = lang[on], row[on], at[on]
+            block = first[row] + (at - begin[first[row]]) // BLOCK
+            total[lang, row] += in_block[lang, block] - begun[lang, steps[at - begin[block]] + place[block]]
+            on = np.flatnonzero(block < first[row + 1] - 1)
         return total
 
-    def _carry_on(self, flat: np.ndarray, begin: np.ndarray, rows: np.ndarray, ends: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _carry_on(
+        self, flat: np.ndarray, begin: np.ndarray, rows: np.ndarray, ends: np.ndarray, state_at: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Where the parse of each block, carried on, meets that of a later block of its text, and the phrases begun until then.
 
-        Without such a place it is the text's end.
+        Without such a place it is the text's end. ``state_at`` gives the states of the blocks' own parses.
         """
         n_langs = len(self.names)
         inner = np.flatnonzero(rows[:-1] == rows[1:])
         meet, more = np.tile(ends[rows], (n_langs, 1)), np.zeros((n_langs, len(begin)), np.int64)
         lang, block = np.repeat(np.arange(n_langs), len(inner)), np.tile(inner, n_langs)
-        at = begin[block + 1]
-        state = states[lang, at - 1].astype(np.int64)
+        end, at, own = ends[rows[block]], begin[block + 1], block + 1
+        state = state_at(lang, block, at - 1).astype(np.int64)
         while len(block):
-            state, new = self.step(state, np.array(self.roots, np.int64)[lang], flat[at])
+            state, new = self.step(state, lang, flat[at])
             more[lang, block] += new
-            same = states[lang, at] == state
+            same = state_at(lang, own, at) == state
             meet[lang[same], block[same]] = at[same]
-            on = ~same & (at + 1 < ends[rows[block]])
-            lang, block, at, state = lang[on], block[on], at[on] + 1, state[on]
+            at = at + 1
+            on = np.flatnonzero(~same & (at < end))
+            lang, block, own, at, state, end = lang[on], block[on], own[on], at[on], state[on], end[on]
+            own = own + ((at - begin[own]) >= BLOCK)
         return meet, more
 
 

@@ -3,8 +3,10 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from opinionlens.llm import langid
 from opinionlens.llm.langid import CrossParser, LanguageSamples, identify_languages, sample_languages
 
 
@@ -31,7 +33,10 @@ def samples():
     return kinds, make
 
 
-def test_phrases_match_plain_search():
+@pytest.mark.parametrize("dense_bytes", [0, 128 << 20])
+def test_phrases_match_plain_search(monkeypatch, dense_bytes):
+    """Transitions as an array and as a hash table."""
+    monkeypatch.setattr(langid, "DENSE_BYTES", dense_bytes)
     kinds, make = samples()
     learned = LanguageSamples(tuple((k, make(s, 300)) for k, s in kinds.items()))
     parser = CrossParser(learned.texts)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 from opinionlens.functions.text import frequent_words, with_once, word_counts
 from opinionlens.operators.features import vocabulary
 from opinionlens.operators.scaling import ROW, with_row
-from opinionlens.session import materialize
 
-# Words are broadcast in blocks of this size; see `cosine_topk`.
+# Words that a task compares at once take at most about so much; see `cosine_topk`.
 MAX_MATRIX_BYTES = 256 << 20
-# Rows of the text side handled together inside a task.
-BLOCK_ROWS = 2048
+# Words and texts that meet in one task.
+GROUP_BYTES = 256 << 20
+SLICE_BYTES = 32 << 20
+SLICE_ROWS = 256
+# Similarities that numpy works on at once.
+CELLS = 4_000_000
 DIGITS = 6
 
 _KEYWORDS = "array<struct<keyword:string,similarity:double>>"
@@ -47,39 +50,74 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return _unit(flat.reshape(-1, dim))
 
 
-def _best(sims: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per row the k best columns: similarity down, then column order.
+def _first_of_each(row: np.ndarray, k: int) -> np.ndarray:
+    """Places of the first k entries of each run of equal rows."""
+    starts = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, int)
+    return np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row)))) < k
 
-    Every column that rounds to the k-th value is kept until the tie is broken.
+
+class _Best:
+    """The k best words of each text of a slice, kept while blocks of words go by.
+
+    Every word that rounds to the k-th value is kept until the tie is broken by name.
     """
-    k = min(k, sims.shape[1])
-    if k == 0:
-        for row in sims:
-            yield np.empty(0, dtype=int), row[:0]
-        return
-    floor = np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k]
-    for row, least in zip(sims, floor):
-        cols = np.flatnonzero(row >= least - 2 * 10.0**-DIGITS)
-        vals = np.round(row[cols], DIGITS)
-        order = np.argsort(-vals, kind="stable")[:k]
-        yield cols[order], vals[order]
-
-
-def _topk_table(ids: pa.Array, texts: np.ndarray, names: np.ndarray, words: np.ndarray, k: int, id_type) -> pa.Table:
-    """Top-k words of a block of texts; ``names`` must be in ascending order."""
-    flat, values, sizes = [], [], []
-    step = max(1, min(BLOCK_ROWS, (64 << 20) // (8 * max(1, len(names)))))
-    for at in range(0, len(texts), step):
-        for cols, vals in _best(texts[at : at + step] @ words.T, k):
-            flat.append(cols)
-            values.append(vals)
-            sizes.append(len(cols))
-    cols, vals = (np.concatenate(x) if x else np.empty(0) for x in (flat, values))
-    pairs = pa.StructArray.from_arrays(
-        [pa.array(names[cols.astype(int)], pa.string()), pa.array(vals, pa.float64())], names=["keyword", "similarity"]
-    )
-    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pairs)
-    return pa.table({"id": ids.cast(id_type), "keywords": lists})
+
+    def __init__(self, texts: np.ndarray, k: int) -> None:
+        self.texts, self.k = texts, k
+        self.floor = np.full(len(texts), -np.inf)
+        self.held, self.n_held = [], 0
+
+    def add(self, names: pa.Array, words: np.ndarray) -> None:
+        order = pc.sort_indices(names)
+        names, words = names.take(order), words[order.to_numpy()]
+        step = max(1, CELLS // max(1, len(names)))
+        for at in range(0, len(self.texts), step):
+            self._compare(at, self.texts[at : at + step] @ words.T, names)
+        if 2 * self.n_held > 3 * self.k * len(self.texts):
+            self.cut()
+
+    def _compare(self, at: int, sims: np.ndarray, names: pa.Array) -> None:
+        floor, n = self.floor[at : at + len(sims)], sims.shape[1]
+        least = floor
+        if n >= self.k and np.isneginf(floor).any():
+            least = np.fmax(floor, np.partition(sims, n - self.k, axis=1)[:, n - self.k])
+        row, col = np.nonzero(sims >= (least - 2 * 10.0**-DIGITS)[:, None])
+        vals = np.round(sims[row, col], DIGITS)
+        order = np.lexsort((col, -vals, row))
+        order = order[_first_of_each(row[order], self.k)]
+        if len(order):
+            own, n_own = np.unique(row[order], return_counts=True)
+            last = np.cumsum(n_own)[n_own == self.k] - 1
+            floor[own[n_own == self.k]] = np.fmax(floor[own[n_own == self.k]], vals[order[last]])
+            found = [pa.array(row[order] + at), pa.array(-vals[order]), names.take(pa.array(col[order]))]
+            self.held.append(pa.table(found, names=["row", "minus", "word"]))
+            self.n_held += len(order)
+
+    def cut(self) -> pa.Table:
+        """Candidates cut to the k best of each text, by text."""
+        if self.held:
+            found = pa.concat_tables(self.held).sort_by([("row", "ascending"), ("minus", "ascending"), ("word", "ascending")])
+            row = found["row"].to_numpy()
+            kept = found.filter(pa.array(_first_of_each(row, self.k)))
+            row, vals = kept["row"].to_numpy(), -kept["minus"].to_numpy()
+            last = np.flatnonzero(np.append(row[1:] != row[:-1], True))
+            full = last[np.bincount(row, minlength=len(self.texts))[row[last]] == self.k]
+            self.floor[row[full]] = vals[full]
+            self.held, self.n_held = [kept], 0
+            return kept
+        return pa.table({"row": pa.array([], pa.int64()), "minus": pa.array([], pa.float64()), "word": pa.array([], pa.string())})
+
+    def lists(self) -> pa.ListArray:
+        kept = self.cut().combine_chunks()
+        ends = np.cumsum(np.append(0, np.bincount(kept["row"].to_numpy(), minlength=len(self.texts))))
+        columns = [_one(kept["word"]), pa.array(-kept["minus"].to_numpy())]
+        pairs = pa.StructArray.from_arrays(columns, names=["keyword", "similarity"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    found = column.combine_chunks()
+    return pa.concat_arrays(found.chunks) if isinstance(found, pa.ChunkedArray) else found
 
 
 def cosine_topk(
@@ -94,61 +132,70 @@ def cosine_topk(
 ) -> DataFrame:
     """(id, keywords): the k words most similar to each text, best first.
 
-    Every word is a candidate for every text, so the work is a matrix product;
-    only k words per text ever leave a block. Words are broadcast in blocks of
-    at most about ``max_matrix_bytes``, names included; texts never move, and
-    with several blocks their lists are merged row by row. Each row of ``texts``
-    gets a list of its own, whatever its id. A missing or zero text vector has an
-    empty one; words with such a vector are no candidates. Similarities carry
-    six decimals; equal ones are ordered by word.
+    Every word is a candidate for every text, so the work is a matrix product.
+    Slices of texts and groups of words, both of bounded bytes, meet in one
+    task each: it holds its slice, takes its words in blocks of at most about
+    ``max_matrix_bytes``, names included, and keeps k words a text. Nothing
+    passes through the driver; with several groups their lists are merged row by
+    row. Each row of ``texts`` gets a list of its own, whatever its id. A missing
+    or zero text vector has an empty one; words with such a vector are no
+    candidates. Similarities carry six decimals; equal ones are ordered by word.
     """
     words = words.select(F.col(word).cast("string").alias("word"), F.col(word_vector).cast("array<double>").alias("v"))
-    words = words.filter(F.col("word").isNotNull() & F.exists("v", lambda x: x != 0))
+    words = with_row(words.filter(F.col("word").isNotNull() & F.exists("v", lambda x: x != 0)))
     texts = texts.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     size = F.sum(8 * F.size("v") + F.octet_length("word") + 64)
     n_words, dim, n_bytes = words.agg(F.count("*"), F.max(F.size("v")), size).first()
-    schema = f"id {texts.schema['id'].dataType.simpleString()}, keywords {_KEYWORDS}"
     none = F.expr(f"cast(array() as {_KEYWORDS})")
-    if not n_words:
+    if not n_words or k < 1:
         return texts.select(F.col("id").alias(id_col), none.alias("keywords"))
     known = F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
-    n_blocks = math.ceil(n_bytes / max_matrix_bytes)
-    if n_blocks == 1:
-        out = _block_topk(texts.filter(known), words, k, dim, schema)
-    else:
-        out = _blocks_topk(with_row(texts.filter(known)), words, n_blocks, k, dim)
+    block = max(1, max_matrix_bytes // max(1, n_bytes // n_words))
+    out = _cells_topk(with_row(texts.filter(known)), words, math.ceil(n_bytes / GROUP_BYTES), block, k, dim)
     return out.union(texts.filter(~known).select("id", none.alias("keywords"))).withColumnRenamed("id", id_col)
 
 
-def _block_topk(texts: DataFrame, words: DataFrame, k: int, dim: int, schema: str) -> DataFrame:
-    """Top-k lists of every text among one block of words."""
-    table = words.toArrow().sort_by("word")
-    names = table["word"].combine_chunks().to_numpy(zero_copy_only=False)
-    shared = texts.sparkSession.sparkContext.broadcast((names, _matrix(table["v"].combine_chunks(), dim)))
+def _cells_topk(texts: DataFrame, words: DataFrame, n_groups: int, block: int, k: int, dim: int) -> DataFrame:
+    """Top-k lists from all pairs of a slice of texts and a group of words, each pair one partition."""
+    n_texts = texts.count()
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    n_slices = max(1, min(cores, math.ceil(n_texts / SLICE_ROWS)), math.ceil(8 * dim * n_texts / SLICE_BYTES))
+    own, group = (F.pmod(F.xxhash64(ROW), F.lit(n)) for n in (n_slices, n_groups))
+    groups, slices = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (n_groups, n_slices))
+    given = texts.select(F.lit(0).alias("kind"), "id", ROW, F.lit(None).cast("string").alias("word"), "v", own.alias("s"), groups.alias("g"))
+    asked = words.select(F.lit(1).alias("kind"), F.lit(None).cast(texts.schema["id"].dataType).alias("id"), ROW, "word", "v", slices.alias("s"), group.alias("g"))
+    both = given.union(asked).withColumn("cell", (F.col("s") * n_groups + F.col("g")).cast("int")).drop("s", "g")
+    schema = f"{ROW} bigint, id {texts.schema['id'].dataType.simpleString()}, keywords {_KEYWORDS}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, matrix = shared.value
+        held: list[pa.RecordBatch] = []  # texts come before words
+        best = None
+
+        def start() -> _Best:
+            return _Best(np.concatenate([_matrix(b.column("v"), dim) for b in held]), k)
+
         for batch in batches:
-            if batch.num_rows:
-                ids = batch.column("id")
-                block = _matrix(batch.column("v"), dim)
-                yield from _topk_table(ids, block, names, matrix, k, ids.type).to_batches()
-
-    return texts.mapInArrow(run, schema)
-
-
-def _blocks_topk(texts: DataFrame, words: DataFrame, n_blocks: int, k: int, dim: int) -> DataFrame:
-    """One pass over the texts for each block of words; each list is written before the next block is read."""
-    block = F.pmod(F.xxhash64("word"), F.lit(n_blocks))
-    rows = texts.select(F.col(ROW).alias("id"), "v")
-    schema = f"id bigint, keywords {_KEYWORDS}"
-    parts = [materialize(_block_topk(rows, words.filter(block == b), k, dim, schema)) for b in range(n_blocks)]
-    lists = reduce(DataFrame.union, parts)
-    # At most n_blocks lists of k words meet per text.
-    merged = lists.groupBy("id").agg(F.flatten(F.collect_list("keywords")).alias("all"))
+            n = int(np.searchsorted(batch.column("kind").to_numpy(), 1))
+            if n:
+                held.append(batch.slice(0, n).select([ROW, "id", "v"]))
+            if n < batch.num_rows and held:
+                best = best or start()
+                for at in range(n, batch.num_rows, block):
+                    part = batch.slice(at, block)
+                    best.add(part.column("word"), _matrix(part.column("v"), dim))
+        if held:
+            rows = pa.Table.from_batches(held).select([ROW, "id"]).append_column("keywords", (best or start()).lists())
+            yield from rows.to_batches()
+
+    dealt = both.repartitionById(n_slices * n_groups, F.col("cell")).sortWithinPartitions("kind")
+    lists = dealt.select("kind", "id", ROW, "word", "v").mapInArrow(run, schema)
+    if n_groups == 1:
+        return lists.select("id", "keywords")
+    # One list of k words for each group meets per text.
+    merged = lists.groupBy(ROW).agg(F.first("id").alias("id"), F.flatten(F.collect_list("keywords")).alias("all"))
     keyed = F.array_sort(F.transform("all", lambda x: F.struct((-x["similarity"]).alias("s"), x["keyword"].alias("w"))))
     best = F.transform(F.slice(keyed, 1, k), lambda x: F.struct(x["w"].alias("keyword"), (-x["s"]).alias("similarity")))
-    return texts.select(ROW, "id").join(merged.select(F.col("id").alias(ROW), best.alias("keywords")), ROW).drop(ROW)
+    return merged.select("id", best.alias("keywords"))
 
 
 def ranked_keywords(topk: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from opinionlens.functions.ranking import cosine
+from opinionlens.operators import keywords
 from opinionlens.operators.keywords import (
     cosine_topk,
     encode_texts,
@@ -12,6 +14,7 @@ from opinionlens.operators.keywords import (
     keyword_triples,
     ranked_keywords,
 )
+from opinionlens.operators.scaling import with_row
 
 
 def vectors(n, seed, dup=False):
@@ -80,3 +83,18 @@ def test_word2vec_encoder(spark):
     for r in top:
         sims = [k["similarity"] for k in r["keywords"]]
         assert len(sims) == 3 and sims == sorted(sims, reverse=True)
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_topk_reads_all_blocks_in_one_pass(spark, groups, monkeypatch):
+    """A block of words more used to be a job more, and every word passed through the driver."""
+    monkeypatch.setattr(keywords, "GROUP_BYTES", 2100 // groups)
+    monkeypatch.setattr(keywords, "SLICE_ROWS", 10)
+    monkeypatch.setattr(DataFrame, "toArrow", None)
+    written = []
+    monkeypatch.setattr(keywords, "with_row", lambda df: written.append(df) or with_row(df))
+    texts, words = list(enumerate(vectors(37, 3))), [(f"w{i % 9:02d}", v) for i, v in enumerate(vectors(18, 4, dup=True))]
+    t = spark.createDataFrame(texts, "doc_id long, embedding array<double>")
+    w = spark.createDataFrame(words, "word string, embedding array<double>")
+    got = {r["doc_id"]: [tuple(x) for x in r["keywords"]] for r in cosine_topk(t, w, 5, max_matrix_bytes=1).collect()}
+    assert got == brute(texts, words, 5) and len(written) == 2

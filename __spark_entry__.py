@@ -50,6 +50,8 @@ LETTERS = "a-zß-öø-ÿœ"
 LEXICON_SHARE = 0.005
 SUBJECT = "health care reform"
 STOP_SHARE = 0.05
+# Batches in which the maintained overview gets the result table, whatever its size.
+N_BATCHES = 4
 # All 64 components in four blocks: a vector's weight in each of four topics.
 TOPIC_BLOCKS = [range(16 * b + 1, 16 * b + 17) for b in range(4)]
 # Three runs deal all components out to ten classes in different ways.
@@ -115,8 +117,15 @@ def _topic_of_vector(spark: SparkSession, sf: str) -> DataFrame:
 def _results(spark: SparkSession, sf: str) -> DataFrame:
     """Result table from the test data: text and keywords from the documents,
     topic from the vector and score from the event of the same number."""
-    tokens = keywords.frequency_keywords(_tokens(spark, sf), n=3)
-    base = keywords.keyword_columns(tokens).select(
+    topics = _topic_of_vector(spark, sf)  # documents beyond the vectors have no topic
+    scores = _scored_events(spark, sf).select(F.col("id").alias("event_id"), "sentiment_score")
+    # Joined before the texts are cut: tokens and their copies as text are several times as wide.
+    docs = _documents(spark, sf)
+    docs = docs.join(topics, docs["doc_id"] == topics["vec_id"], "left")
+    docs = docs.join(scores, docs["doc_id"] == scores["event_id"], "left")
+    tokens = keywords.frequency_keywords(features.tokens_of(docs), n=3)
+    score = F.round("sentiment_score", 6)
+    return keywords.keyword_columns(tokens).select(
         F.col("doc_id").alias("id"),
         join_tokens("tokens", " ").alias("cut_content"),
         join_tokens("tokens", " ").alias("text"),
@@ -124,19 +133,10 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
         "keyword2",
         "keyword3",
         F.col("tokens").alias("processed_content"),
-    )
-    topics = _topic_of_vector(spark, sf).withColumnRenamed("vec_id", "id")  # documents beyond the vectors have no topic
-    scores = _scored_events(spark, sf).select("id", "sentiment_score")
-    return (
-        base.join(topics, "id", "left")
-        .join(scores, "id", "left")
-        .select(
-            *base.columns,
-            "dominant_topic",
-            F.round("top", 6).alias("similarity_score"),
-            F.round("sentiment_score", 6).alias("sentiment_score"),
-            sentiment_label(F.round("sentiment_score", 6)).alias("sentiment_label"),
-        )
+        "dominant_topic",
+        F.round("top", 6).alias("similarity_score"),
+        score.alias("sentiment_score"),
+        sentiment_label(score).alias("sentiment_label"),
     )
 
 
@@ -380,13 +380,16 @@ _OVERVIEWS: dict[tuple[str, str], tuple[DataFrame, MaintainedOverview]] = {}
 
 
 def _maintained(spark: SparkSession, sf: str) -> tuple[DataFrame, MaintainedOverview]:
-    """The result table as a stream of files, each merged as a batch; then a replay, a snapshot and a replay of what it covers."""
+    """The result table as a stream of files, merged in a few batches of many files; then a replay, a snapshot and a replay of what it covers."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _OVERVIEWS:
-        results = materialize(_results(spark, sf).repartition(4, "id"))
+        results = materialize(_results(spark, sf))
+        if len(results.inputFiles()) < N_BATCHES:
+            results = materialize(results.repartition(N_BATCHES, "id"))
+        per_batch = -(-len(results.inputFiles()) // N_BATCHES)
         folder = f"{shared_dir(spark).rstrip('/')}/overview-{uuid.uuid4().hex}"
         kept = MaintainedOverview(spark, f"{folder}/state")
-        files = spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 1).parquet(os.path.dirname(results.inputFiles()[0]))
+        files = spark.readStream.schema(results.schema).option("maxFilesPerTrigger", per_batch).parquet(os.path.dirname(results.inputFiles()[0]))
         stream = files.writeStream.foreachBatch(kept.merge).option("checkpointLocation", f"{folder}/stream")
         stream.trigger(availableNow=True).start().awaitTermination()
         kept.merge(results, 0)

@@ -9,8 +9,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Stored bytes of a part that `spread` makes at most on average; texts are some three times as long.
+SPREAD_BYTES = 16 << 20
 
 
 def local_session(cores: str | int = "*", app: str = "opinionlens") -> SparkSession:
@@ -67,12 +70,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that arrives in too few files.
+    """Use all cores on an input that arrives in too few files, in parts that do not grow with it.
 
     A file with one row group is one task whatever its size. Inputs of many
     files are left alone, without a shuffle; so are those of no file at all.
-    Only the plan is looked at: no job runs.
+    Of the files only names and lengths are read.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df.repartition(cores, key) if 0 < files < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not 0 < len(files) < cores:
+        return df
+    stored = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+    return df.repartition(max(cores, -(-stored // SPREAD_BYTES)), key)

@@ -114,3 +114,24 @@ def test_stream(spark, tmp_path):
 def test_ranges():
     assert _ranges([3, 1, 2, 7, 8, 10]) == [[1, 3], [7, 8], [10, 10]]
     assert _ranges([]) == []
+
+
+def test_batches_of_many_files_count_each_row_once(spark, tmp_path):
+    """The stream's batches used to be four files whatever the size, each written by one task."""
+    import __spark_entry__ as entry
+
+    ids = list(range(40))
+    vectors = [(i, [float(i % 7)] * 64, i % 3) for i in ids]
+    tables = {
+        "documents": spark.createDataFrame([(i, f"word{i % 3} other") for i in ids], "doc_id long, text string").repartition(12),
+        "embeddings": spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int"),
+        "events": spark.createDataFrame([(i, i % 2, i / 40) for i in ids], "event_id long, event_type int, value double"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    results, kept = entry._maintained(spark, str(tmp_path))
+    assert len(results.inputFiles()) > entry.N_BATCHES
+    _, deltas, covered = kept._parts()
+    assert not deltas and covered[0][1] < entry.N_BATCHES and covered[0][1] > 0
+    expect = {(r["keyword"], r["count"]) for r in explore.hot_keywords(results, n=None).collect()}
+    assert {(r["keyword"], r["count"]) for r in kept.hot_keywords(None).collect()} == expect

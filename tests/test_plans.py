@@ -12,6 +12,7 @@ from opinionlens.operators.sentiment import sentiment_by_topic
 from opinionlens.operators.store import write_results
 from opinionlens.operators.stopwords import stopword_filter
 from opinionlens.sources.posts import cap_per_source
+from opinionlens import session
 from opinionlens.session import spread
 
 
@@ -89,3 +90,14 @@ def test_spread_leaves_wide_inputs_alone(spark, docs, tmp_path):
     assert shuffles(spread(narrow, "doc_id")) == 1
     made = spark.range(3)
     assert spread(made, "id") is made
+
+
+def test_parts_of_an_input_in_few_files_keep_their_size(spark, docs, tmp_path, monkeypatch):
+    docs.coalesce(1).write.parquet(str(tmp_path / "narrow"))
+    narrow = spark.read.parquet(str(tmp_path / "narrow"))
+    stored = sum(f.stat().st_size for f in (tmp_path / "narrow").glob("part-*"))
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(narrow, "doc_id").rdd.getNumPartitions() == cores
+    monkeypatch.setattr(session, "SPREAD_BYTES", -(-stored // (3 * cores)))
+    parts = spread(narrow, "doc_id")
+    assert parts.rdd.getNumPartitions() == 3 * cores and parts.count() == docs.count()

@@ -1,0 +1,36 @@
+import numpy as np
+from pyspark.ml.feature import Word2Vec
+from pyspark.sql import DataFrame
+
+from opinionlens.operators import word_vectors
+from opinionlens.operators.keywords import encode_texts, encode_words, fit_word2vec
+
+
+def test_vectors_are_a_table_and_tell_words_apart(spark, monkeypatch):
+    """Spark's Word2Vec held all words and two matrices on the driver."""
+    monkeypatch.setattr(Word2Vec, "fit", None)
+    monkeypatch.setattr(DataFrame, "toArrow", None)
+    monkeypatch.setattr(word_vectors, "BLOCK_ENTRIES", 4000)  # several blocks
+    rng = np.random.default_rng(5)
+    kinds = [["pay", "salary", "work", "wage"], ["drug", "price", "cost", "dose"]]
+    docs = [(i, [*map(str, rng.choice(kinds[i % 2], 20)), None]) for i in range(600)] + [(-1, []), (-2, None), (-2, ["unknown", "pay"])]
+    df = spark.createDataFrame(docs, "doc_id int, tokens array<string>")
+    model = fit_word2vec(df.filter("doc_id >= 0"), size=16, max_iter=6)
+    vectors = {r["word"]: np.array(r["embedding"]) for r in encode_words(model).collect()}
+    assert set(vectors) == {*kinds[0], *kinds[1]}
+    unit = {w: v / np.linalg.norm(v) for w, v in vectors.items()}
+    near = [unit[a] @ unit[b] for k in kinds for a in k for b in k if a < b]
+    far = [unit[a] @ unit[b] for a in kinds[0] for b in kinds[1]]
+    assert min(near) > max(far)
+    found = [(r["doc_id"], np.array(r["embedding"])) for r in encode_texts(model, df).collect()]
+    assert sorted(i for i, _ in found) == sorted(i for i, _ in docs)
+    expect = {i: np.mean([vectors.get(w, np.zeros(16)) for w in t if w], axis=0) for i, t in docs[:600]}
+    assert all(np.allclose(v, expect[i]) for i, v in found if i >= 0)
+    odd = [v for i, v in found if i < 0]
+    assert sorted(bool(v.any()) for v in odd) == [False, False, True] and any(np.allclose(v, vectors["pay"] / 2) for v in odd)
+
+
+def test_same_words_same_vectors(spark):
+    df = spark.createDataFrame([(i, "a b c a".split()) for i in range(20)], "doc_id int, tokens array<string>").coalesce(1)
+    one, two = ({r["word"]: r["embedding"] for r in encode_words(fit_word2vec(df, size=4)).collect()} for _ in range(2))
+    assert one == two and all(len(v) == 4 and any(v) for v in one.values())

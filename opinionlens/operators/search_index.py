@@ -18,19 +18,26 @@ characters in a row, and blank ones, scan the rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinionlens.functions.matching import fold_ascii, fold_keyword
+from opinionlens.functions.matching import fold_keyword
 from opinionlens.operators.explore import KEYWORD_COLUMNS
 from opinionlens.operators.store import append_rows
 from opinionlens.session import materialize
 
 GRAM = 3
+#: Bits of a character in a gram's number.
+CHAR_BITS = 21
+#: Text that a task cuts into grams at once.
+SLICE_BYTES = 2 << 20
 BUCKETS = 16
 #: Ids of a block: the most offsets of one list, whatever the share of rows that hold its gram.
 BLOCK_IDS = 1 << 16
@@ -50,18 +57,45 @@ def keyword_grams(keyword: str, literal: bool = False) -> list[str]:
     return sorted({s[i : i + GRAM] for s in stretches for i in range(len(s) - GRAM + 1)})
 
 
-def grams_of(columns: Sequence[str]) -> Column:
-    """Distinct grams of a row's columns, each taken for itself; null columns have none.
+def _lists_of(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(gram, block, offsets): sorted offsets of the rows that hold a gram, a list for each slice of the rows of a task.
 
-    Characters are cut apart once: a substring at each place would walk the text each time.
+    Each column is taken for itself; null columns have no grams. ``rows`` has ``id``, ``block``, ``offset`` and the columns.
     """
 
-    def one(name: str) -> Column:
-        chars = F.transform(F.array(F.split(fold_ascii(F.coalesce(F.col(name), F.lit(""))), "")), lambda c: F.array_remove(c, ""))
-        begins = lambda c: F.slice(c, 1, F.greatest(F.size(c) - (GRAM - 1), F.lit(0)))
-        return F.transform(chars, lambda c: F.transform(begins(c), lambda x, i: F.concat(x, *[F.get(c, i + k) for k in range(1, GRAM)])))[0]
-
-    return F.array_distinct(F.flatten(F.array(*map(one, columns))))
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        _, first, row = np.unique(batch["id"].to_numpy(), return_index=True, return_inverse=True)
+        own, at = [], []
+        for name in columns:
+            texts = [(b or b"").decode("utf-8", "replace") for b in batch[name].cast(pa.binary()).to_pylist()]
+            chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+            chars = np.where((chars >= ord("A")) & (chars <= ord("Z")), chars + 32, chars)  # as fold_ascii
+            of = np.repeat(row, [len(t) for t in texts])
+            text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+            inside = text[: 1 - GRAM] == text[GRAM - 1 :]
+            own.append(sum(chars[k : len(chars) + 1 - GRAM + k] << CHAR_BITS * (GRAM - 1 - k) for k in range(GRAM))[inside])
+            at.append(of[: 1 - GRAM][inside])
+        grams, gram = np.unique(np.concatenate(own), return_inverse=True)
+        pairs = np.unique(gram << 32 | np.concatenate(at))  # by gram, then by id
+        gram, rank = pairs >> 32, pairs & 0xFFFFFFFF
+        block, offset = (batch[c].to_numpy()[first] for c in ("block", "offset"))
+        starts = np.flatnonzero((np.diff(gram, prepend=-1) != 0) | (np.diff(block[rank], prepend=0) != 0)) if len(pairs) else pairs
+        letters = np.stack([grams[gram[starts]] >> CHAR_BITS * k & (1 << CHAR_BITS) - 1 for k in range(GRAM - 1, -1, -1)], axis=1)
+        named = letters.astype("<u4").tobytes().decode("utf-32-le")
+        ends = pa.array(np.append(starts, len(pairs)).astype(np.int32))
+        lists = pa.ListArray.from_arrays(ends, pa.array(offset[rank].astype(np.int32)))
+        found = [named[i : i + GRAM] for i in range(0, len(named), GRAM)]
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(block[rank][starts]), lists], names=["gram", "block", "offsets"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = sum(pc.fill_null(pc.binary_length(batch[c]), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+            slices = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+            for i in np.unique(slices):  # few rows of some bytes in all, or one long row more
+                a, b = np.searchsorted(slices, [i, i + 1])
+                yield cut(batch.slice(a, b - a))
+
+    return rows.select("id", "block", "offset", *columns).mapInArrow(run, "gram string, block bigint, offsets array<int>")
 
 
 def _bucket(gram: Column) -> Column:
@@ -85,28 +119,36 @@ class SearchIndex:
     columns: tuple[str, ...] = ("text", *KEYWORD_COLUMNS)
     block_ids: int = BLOCK_IDS
 
-    def add(self, results: DataFrame) -> None:
+    def add(self, results: DataFrame, stored: bool = False) -> None:
         """Add rows with new ids; ``results`` needs an integer id in every row.
 
+        ``results`` is written first, or with ``stored`` read again from the
+        files it comes from, which must hold still.
+
         Grams are written before rows: a load that ends in between leaves grams
         of rows that do not exist, which no search finds. The same load can then
         be repeated.
         """
         block = F.floor(F.col(self.id_col) / self.block_ids).cast("long")
         offset = (F.col(self.id_col) - block * self.block_ids).cast("int")
-        stored = materialize(results)
-        if not stored.filter(F.col(self.id_col).isNull()).isEmpty():
+        rows = results if stored else materialize(results)
+        if not rows.filter(F.col(self.id_col).isNull()).isEmpty():
             raise ValueError(f"rows without {self.id_col} cannot be indexed")
-        held = stored.select(block.alias("block"), offset.alias("offset"), F.explode(grams_of(self.columns)).alias("gram"))
-        # A group is one gram in one block: at most block_ids offsets, counted in parts by each task.
-        lists = held.groupBy("gram", "block").agg(F.sort_array(F.collect_set("offset")).alias("offsets"))
-        lists = materialize(lists.withColumn("n", F.size("offsets").cast("long")).withColumn("bucket", _bucket(F.col("gram"))))
-        placed = lists.repartitionByRange("bucket", "gram", "block").sortWithinPartitions("bucket", "gram", "block")
+        placed = rows.select(F.col(self.id_col).cast("long").alias("id"), block.alias("block"), offset.alias("offset"), *[F.col(c).cast("string").alias(f"__{c}") for c in self.columns])
+        held = _lists_of(placed, [f"__{c}" for c in self.columns])
+        # A group is one gram in one block: at most block_ids offsets, in lists that tasks have made. One shuffle serves
+        # the groups and the folders: a bucket's groups are dealt out to as many files as keep all partitions busy.
+        files = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // BUCKETS)
+        dealt = held.withColumn("bucket", _bucket(F.col("gram"))).withColumn("__file", F.pmod(F.xxhash64("gram", "block"), F.lit(files)))
+        groups = dealt.repartition("bucket", "__file").groupBy("bucket", "__file", "gram", "block")
+        lists = groups.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("offsets")))).alias("offsets")).drop("__file")
+        placed = lists.withColumn("n", F.size("offsets").cast("long")).sortWithinPartitions("bucket", "gram", "block")
         writer = placed.write.mode("append").partitionBy("bucket").option("parquet.writer.version", "PARQUET_2_0")
         writer.option("parquet.page.row.count.limit", str(PAGE_ROWS)).parquet(f"{self.path}/grams")
-        rows = stored.withColumn("__block", block)
+        rows = rows.withColumn("__block", block)
         rows = rows.repartitionByRange("__block", self.id_col).sortWithinPartitions("__block", self.id_col)
-        rows.write.mode("append").partitionBy("__block").option("parquet.page.row.count.limit", str(PAGE_ROWS)).parquet(f"{self.path}/rows")
+        writer = rows.write.mode("append").partitionBy("__block").option("compression", "zstd")
+        writer.option("parquet.page.row.count.limit", str(PAGE_ROWS)).parquet(f"{self.path}/rows")
 
     def append(self, batch: DataFrame, key: str = "doc_id") -> None:
         """Load a batch as ``append_rows`` does, with ids that go on after the largest one, and index it."""

@@ -104,3 +104,29 @@ def test_rows_read_follow_the_candidates(tmp_path):
         if event["Event"] == "SparkListenerTaskEnd" and event["Stage ID"] in wanted:
             read += event["Task Metrics"]["Input Metrics"]["Records Read"]
     assert 3 <= read <= 10_000
+
+
+def test_lists_leave_tasks_packed(spark):
+    """A gram is one row for each slice of a task, not one for each row that holds it; long and blank rows too."""
+    rows = [(i, 0 if i < 700 else 1, i % 700, "ABCD " + "é" * (i % 5), None) for i in range(1000)] + [(2000, 2, 5, "xyz" * 900_000, "aBc"), (2001, 2, 6, "", None)]
+    df = spark.createDataFrame(rows, "id bigint, block bigint, offset int, a string, b string").repartition(1)
+    lists = search_index._lists_of(df, ["a", "b"])
+    found = {}
+    for r in lists.collect():
+        found.setdefault((r["gram"], r["block"]), []).append(sorted(r["offsets"]))
+        assert r["offsets"] == sorted(set(r["offsets"]))
+    assert lists.count() < 30
+    assert sorted(x for own in found["abc", 0] for x in own) == list(range(700)) and found["abc", 2] == [[5]]
+    assert sorted(x for own in found["ééé", 1] for x in own) == [i for i in range(300) if i % 5 > 2]
+    assert {g for g, b in found if b == 2} == {"xyz", "yzx", "zxy", "abc"}
+
+
+def test_add_of_stored_rows_writes_no_second_copy(spark, tmp_path, monkeypatch):
+    rows_path = str(tmp_path / "rows")
+    spark.createDataFrame(rows_of(6, 1, 50), SCHEMA).write.parquet(rows_path)
+    copies = []
+    monkeypatch.setattr(search_index, "materialize", lambda df: copies.append(df) or df)
+    index = SearchIndex(spark, str(tmp_path / "index"), block_ids=16)
+    index.add(spark.read.parquet(rows_path), stored=True)
+    assert not copies and index.rows().count() == 51
+    assert ids(hits(index.rows_for("abc"), "abc")) == ids(hits(index.rows(), "abc"))

@@ -120,7 +120,7 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
     topics = _topic_of_vector(spark, sf)  # documents beyond the vectors have no topic
     scores = _scored_events(spark, sf).select(F.col("id").alias("event_id"), "sentiment_score")
     # Joined before the texts are cut: tokens and their copies as text are several times as wide.
-    docs = _documents(spark, sf)
+    docs = spread(_read(spark, sf, "documents").select("doc_id", "text"), "doc_id", joined=True)
     docs = docs.join(topics, docs["doc_id"] == topics["vec_id"], "left")
     docs = docs.join(scores, docs["doc_id"] == scores["event_id"], "left")
     tokens = keywords.frequency_keywords(features.tokens_of(docs), n=3)

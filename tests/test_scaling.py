@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from opinionlens import session
 from opinionlens.operators.scaling import bounded_join, lookup_join, with_position
 from opinionlens.session import CHECKPOINT_KEY, materialize, shared_dir
 
@@ -63,3 +64,16 @@ def test_shared_dir_follows_the_session(spark):
         with pytest.raises(ValueError):
             shared_dir(Session(None, master))
     assert materialize(spark.range(5)).count() == 5
+
+
+def test_spread_before_a_join_follows_the_size_of_many_files(spark, tmp_path, monkeypatch):
+    path, cores = str(tmp_path / "many"), spark.sparkContext.defaultParallelism
+    spark.range(2000).repartition(cores + 1).write.parquet(path)
+    monkeypatch.setattr(session, "SPREAD_BYTES", 100)
+    df = spark.read.parquet(path)
+    assert session.spread(df, "id") is df
+    dealt = session.spread(df, "id", joined=True)
+    parts = dealt.rdd.getNumPartitions()
+    assert parts > int(spark.conf.get("spark.sql.shuffle.partitions")) and sorted(r[0] for r in dealt.collect()) == list(range(2000))
+    monkeypatch.setattr(session, "SPREAD_BYTES", 50)
+    assert session.spread(df, "id", joined=True).rdd.getNumPartitions() > parts

@@ -50,9 +50,8 @@ def _logits(slots: np.ndarray, rows: np.ndarray, sizes: np.ndarray, weights: np.
     return np.stack(sums, axis=1) / np.maximum(sizes, 1)[:, None] + weights[-1]
 
 
-def _slices(lists: pa.ListArray) -> Iterator[tuple[int, int]]:
-    """Runs of lists of at most ``SLICE_WORDS`` words."""
-    sizes = np.diff(lists.offsets.to_numpy())
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of lists, of these sizes, of at most ``SLICE_WORDS`` words."""
     at, held = 0, 0
     for i, n in enumerate(sizes):
         if i > at and held + n > SLICE_WORDS:
@@ -78,7 +77,7 @@ def batch_gradient(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, fl
         held = shared.value
         total, loss, n = np.zeros_like(held), 0.0, 0
         for batch in batches:
-            for a, b in _slices(batch["slots"]):
+            for a, b in _slices(np.diff(batch["slots"].offsets.to_numpy())):
                 lists = batch["slots"].slice(a, b - a)
                 label = batch["label_id"].slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
                 sizes = np.diff(lists.offsets.to_numpy())
@@ -111,15 +110,23 @@ def batch_gradient(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, fl
     return gradient, float(np.sum(found["loss"].to_numpy())), int(np.sum(found["n"].to_numpy()))
 
 
+def _best(lists: pd.Series, weights: np.ndarray) -> np.ndarray:
+    """The class with the greatest value for each list of slots."""
+    given, found = lists.to_numpy(), [np.zeros(0, np.int64)]
+    lengths = np.array([len(own) for own in given], np.int64)
+    for a, b in _slices(lengths):
+        slots, rows = np.concatenate(given[a:b]).astype(np.int64), np.repeat(np.arange(b - a), lengths[a:b])
+        found.append(_logits(slots, rows, lengths[a:b], weights).argmax(axis=1))
+    return np.concatenate(found)
+
+
 def predict(df: DataFrame, weights: np.ndarray, tokens: str = "tokens", out: str = "prediction_id") -> DataFrame:
     """Add the class with the greatest value, the first of equal ones; row-local."""
     shared = df.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("int")
     def best(lists: pd.Series) -> pd.Series:
-        sizes = lists.map(len).to_numpy(dtype=np.int64)
-        slots = np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64)
-        return pd.Series(_logits(slots, np.repeat(np.arange(len(sizes)), sizes), sizes, shared.value).argmax(axis=1))
+        return pd.Series(_best(lists, shared.value))
 
     return df.withColumn(out, best(word_slots(tokens, len(weights) - 1)))
 

@@ -1,8 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from opinionlens.operators.emotion import best_run
+from opinionlens.operators import epochs
 from opinionlens.operators.epochs import Training, batch_gradient, predict, train_epochs, word_slots
 
 PLAN = Training(epochs=3, batches=4, features=64, classes=3)
@@ -76,3 +78,15 @@ def test_nothing_to_learn_or_to_test(spark):
 def test_slots_are_in_range(spark):
     slots = samples(spark).select(F.explode(word_slots("tokens", 64)).alias("s")).agg(F.min("s"), F.max("s")).first()
     assert 0 <= slots[0] <= slots[1] < 64
+
+
+def test_prediction_works_on_bounded_slices(monkeypatch):
+    rnd = np.random.default_rng(4)
+    weights = rnd.normal(size=(33, 3))
+    lists = pd.Series([rnd.integers(0, 32, n).astype(np.int32) for n in (3, 0, 50, 7, 7, 0, 9, 1)])
+    wanted = [int((weights[x].sum(axis=0) / max(1, len(x)) + weights[-1]).argmax()) for x in lists]
+    seen, logits = [], epochs._logits
+    monkeypatch.setattr(epochs, "SLICE_WORDS", 10)
+    monkeypatch.setattr(epochs, "_logits", lambda slots, *rest: seen.append(len(slots)) or logits(slots, *rest))
+    assert epochs._best(lists, weights).tolist() == wanted and epochs._best(lists[:0], weights).tolist() == []
+    assert max(n for n in seen if n != 50) <= 10 and sum(seen) == 77

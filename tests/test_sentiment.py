@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinionlens.functions.ranking import dominant_index, sentiment_label
+from opinionlens.operators import scaling, sentiment
 from opinionlens.operators.sentiment import fit_sentiment, sentiment_box, sentiment_by_topic, sentiment_outliers
 
 
@@ -89,3 +90,17 @@ def test_approximate_box_is_close(spark):
     df, _ = scored(spark)
     exact = sentiment_box(df).agg(F.sum("median")).first()[0]
     assert sentiment_box(df, exact=False).agg(F.sum("median")).first()[0] == pytest.approx(exact, abs=0.02)
+
+
+def test_numbered_rows_are_not_written_again(spark, monkeypatch):
+    """Repeated and null ids, null and empty tokens; both ways of joining the weights."""
+    train = spark.createDataFrame([(["a", "b"], 1), (["b", "c"], 0)], "tokens array<string>, label int")
+    model = sentiment.fit_sentiment(train)
+    rows = [(1, ["a", "a", "x"]), (1, ["c"]), (None, ["b"]), (2, None), (3, [])]
+    df = spark.createDataFrame(rows, "doc_id int, tokens array<string>")
+    wanted = sorted(map(str, model.score(df).collect()))
+    numbered, copies = scaling.with_row(df), []
+    monkeypatch.setattr(sentiment, "with_row", lambda given: copies.append(given) or scaling.with_row(given))
+    for limit in (1_000_000, 0):
+        assert sorted(map(str, model.score(numbered, max_broadcast=limit).collect())) == wanted
+    assert not copies

@@ -12,7 +12,8 @@ Each list is answered in three steps, and classes already in one component are
 not compared again:
 
 1. every member is compared with the list's first one, the pivot (or is in its
-   component already, by the pivot of another list);
+   component already, by the pivot of another list), first by size and parity
+   sketch, then, if these leave a link possible, set by set;
 2. members not linked with it are compared with the member of another component
    that a parity sketch shows as nearest;
 3. what is left of other components is compared member by member, but only where
@@ -20,7 +21,8 @@ not compared again:
    bound the distance of two members from below) still allow a link.
 
 Components come from the links by alternating large-star and small-star steps.
-Nothing is capped: all three bounds are exact.
+Nothing is capped: all three bounds are exact. Sets are cut from the texts where
+they are compared and are not stored.
 """
 
 from __future__ import annotations
@@ -222,8 +224,8 @@ def index_lists(entries: DataFrame) -> DataFrame:
     return sorted_.mapInArrow(run, "sig bigint, pivot bigint, cls bigint")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, join: SetJoin, key: str, text: str = "text") -> DataFrame:
-    """(cls, n, sketch, items) of the documents with a key in ``wanted``."""
+def class_sketches(docs: DataFrame, wanted: DataFrame, join: SetJoin, key: str, text: str = "text") -> DataFrame:
+    """(cls, n, sketch) of the documents with a key in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -233,25 +235,94 @@ def class_sets(docs: DataFrame, wanted: DataFrame, join: SetJoin, key: str, text
                     pa.array([class_of(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([sketch(s) for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["cls", "n", "sketch", "items"])
+                yield pa.RecordBatch.from_arrays(columns, names=["cls", "n", "sketch"])
 
-    return docs.join(_few(wanted), key, "left_semi").select(text).mapInArrow(run, "cls bigint, n bigint, sketch binary, items binary")
+    return docs.join(_few(wanted), key, "left_semi").select(text).mapInArrow(run, "cls bigint, n bigint, sketch binary")
 
 
-def compare(pairs: DataFrame, sets: DataFrame, join: SetJoin) -> DataFrame:
-    """(a, b, difference, linked) of distinct pairs (a, b), exactly; a set may be given more than once.
+def class_items(docs: DataFrame, wanted: DataFrame, join: SetJoin, key: str, text: str = "text") -> DataFrame:
+    """(cls, items) of the documents with a key in ``wanted``: eight bytes an n-gram, far more than a text takes when stored."""
 
-    Sets travel once: each to the pairs' first classes it is compared with. A
-    first class with many partners is spread over several tasks.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for _, texts in text_slices(whole, text):
+                sets = text_sets(texts, join)
+                columns = [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["cls", "items"])
+
+    return docs.join(_few(wanted), key, "left_semi").select(text).mapInArrow(run, "cls bigint, items binary")
+
+
+@dataclass(frozen=True)
+class Sets:
+    """Where the sets of listed classes are found: (cls, n, sketch), (cls, key) of a document of each, and the documents."""
+
+    sketches: DataFrame
+    owners: DataFrame
+    docs: DataFrame
+    join: SetJoin
+    key: str
+    text: str
+
+    def items(self, classes: DataFrame) -> DataFrame:
+        """(cls, items) of ``classes``, cut from their documents' texts anew; nothing is stored."""
+        keys = materialize(self.owners.join(_few(classes), "cls", "left_semi").select(self.key))
+        return class_items(self.docs, keys, self.join, self.key, self.text)
+
+
+def _routes(pairs: DataFrame) -> DataFrame:
+    """(cls, a, part): the places where each class of the pairs meets others.
+
+    A class travels to the pairs' first classes it is compared with. A first
+    class with many partners is spread over several tasks.
     """
     spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_MEMBERS).cast("int").alias("parts"))
     members = pairs.join(spread, "a").select(F.col("b").alias("cls"), "a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
     owners = spread.select(F.col("a").alias("cls"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    wanted = materialize(members.unionByName(owners))
-    rows = sets.select("cls", "items").join(_few(wanted), "cls").withColumn("later", F.col("a") != F.col("cls"))
-    ready = rows.repartition("a", "part").sortWithinPartitions("a", "part", "later")
+    return materialize(members.unionByName(owners))
+
+
+def _met(rows: DataFrame, routes: DataFrame) -> DataFrame:
+    """The rows of each class at all its places, in a place that of the first class before all others."""
+    placed = rows.join(_few(routes), "cls").withColumn("later", F.col("a") != F.col("cls"))
+    return placed.repartition("a", "part").sortWithinPartitions("a", "part", "later").drop("later")
+
+
+def near_pairs(pairs: DataFrame, sketches: DataFrame, join: SetJoin) -> DataFrame:
+    """The distinct pairs (a, b) whose sizes and sketches allow a link. Both bounds are exact; no set travels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, size, own = None, 0, b""
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for a, part, cls, n, bits in zip(*(batch[c].to_pylist() for c in ("a", "part", "cls", "n", "sketch")), strict=True):
+                if a == cls:
+                    key, size, own = (a, part), n, bits
+                    continue
+                if key != (a, part):
+                    raise RuntimeError("a pair's first set is missing")
+                if 100 * min(n, size) < join.percent * max(n, size):
+                    continue
+                mine, other = folded([own, bits])
+                if int(np.bitwise_count(mine ^ other).sum(dtype=np.int64)) <= join.max_difference(n + size):
+                    out.append((a, cls))
+            columns = [pa.array([row[i] for row in out], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    ready = _met(sketches, _routes(pairs)).select("a", "part", "cls", "n", "sketch")
+    return ready.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def compare(pairs: DataFrame, sets: Sets) -> DataFrame:
+    """(a, b, difference, linked), exactly, of those distinct pairs (a, b) that sizes and sketches leave; the others do not link.
+
+    Sets are made and sent for these pairs alone: most pairs of a list share a
+    passage and no more.
+    """
+    join = sets.join
+    routes = _routes(materialize(near_pairs(pairs, sets.sketches, join)))
+    ready = _met(sets.items(routes.select("cls").distinct()), routes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, np.zeros(0, U64)
@@ -298,17 +369,17 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(roots.select(F.col("root").alias("cls"), "root").distinct()) if not now.isEmpty() else spark.createDataFrame([], "cls bigint, root bigint")
 
 
-def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sets: DataFrame, join: SetJoin, nearest: bool) -> DataFrame:
+def open_pairs(lists: DataFrame, roots: DataFrame, answers: DataFrame, sketches: DataFrame, join: SetJoin, nearest: bool) -> DataFrame:
     """Distinct pairs (a, b) of lists whose members are in several components and may still link.
 
     ``nearest``: for each member only the one that its sketch is nearest to.
-    ``answers`` has the members' distances from the pivots.
+    ``answers`` has distances of members from the pivots, where these were needed.
     """
     rooted = lists.join(_few(roots), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     torn = materialize(rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig"))
     known = answers.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "difference")
     left = materialize(rooted.join(_few(torn), "sig"))
-    rows = left.join(known, ["pivot", "cls"], "left").join(sets.select("cls", "n", "sketch").dropDuplicates(["cls"]), "cls")
+    rows = left.join(known, ["pivot", "cls"], "left").join(sketches.dropDuplicates(["cls"]), "cls")
     # A long list is cut into parts; a member meets each part, its own included, in a task of its own.
     long = left.groupBy("sig").agg(F.ceil(F.count("*") / LIST_MEMBERS).cast("int").alias("parts")).filter("parts > 1")
     rows = rows.join(_few(materialize(long)), "sig", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -393,24 +464,25 @@ def similar_classes(docs: DataFrame, member: DataFrame, join: SetJoin, text: str
     lists = materialize(index_lists(postings(docs, join, text)))
     listed = lists.select("cls").distinct()
     reps = member.filter("cls <> 0").groupBy("cls").agg(F.min(key).alias(key))
-    wanted = materialize(reps.join(listed, "cls").select(key))
-    sets = materialize(class_sets(docs.select(key, text), wanted, join, key, text))
+    owners = materialize(reps.join(listed, "cls").select("cls", key))
+    texts = docs.select(key, text)
+    sets = Sets(materialize(class_sketches(texts, owners.select(key), join, key, text)), owners, texts, join, key, text)
     star = materialize(lists.filter("cls <> pivot").select(F.least("pivot", "cls").alias("a"), F.greatest("pivot", "cls").alias("b")).distinct())
     # A class is first compared with one pivot; with its others only where that has not joined them.
     first = materialize(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    answers = materialize(compare(first, sets, join))
+    answers = materialize(compare(first, sets))
     roots = _few(materialize(components(answers.filter("linked"))))
     rest = star.join(first, ["a", "b"], "left_anti")
     for side in ("a", "b"):
         rest = rest.join(roots.select(F.col("cls").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
     rest = materialize(rest.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
     if not rest.isEmpty():
-        answers = materialize(answers.unionByName(compare(rest, sets, join)))
+        answers = materialize(answers.unionByName(compare(rest, sets)))
     for nearest in (True, False):
         roots = materialize(components(answers.filter("linked")))
-        more = open_pairs(lists, roots, answers, sets, join, nearest)
+        more = open_pairs(lists, roots, answers, sets.sketches, join, nearest)
         if not more.isEmpty():
-            answers = materialize(answers.unionByName(compare(more, sets, join)))
+            answers = materialize(answers.unionByName(compare(more, sets)))
     return components(answers.filter("linked"))
 
 

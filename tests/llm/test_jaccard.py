@@ -87,3 +87,18 @@ def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (205, 203), (203, 204), (5, 5)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 203: 203, 204: 203, 205: 203}
+
+
+def test_only_sets_that_may_link_travel(spark, monkeypatch):
+    """Texts that share a passage and no more are told apart by their sketches; their sets are not made."""
+    from opinionlens.llm import jaccard
+
+    r = random.Random(31)
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [(i, passage + " " + " ".join(f"x{r.randrange(10**6)}" for _ in range(150))) for i in range(40)]
+    docs += [(100 + i, text + " more") for i, text in docs[:5]]
+    asked, items = [], jaccard.class_items
+    monkeypatch.setattr(jaccard, "class_items", lambda docs, wanted, *rest: asked.append(wanted.count()) or items(docs, wanted, *rest))
+    got = jaccard_components(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == sorted(brute(docs))
+    assert asked and max(asked) <= 10

@@ -580,13 +580,13 @@ def q_best_run(spark: SparkSession, sf: str) -> DataFrame:
 
 def _emotion_samples(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents; the eight classes are language x quality."""
-    docs = features.tokens_of(_read(spark, sf, "documents").select("doc_id", "text", "lang"))
+    docs = _read(spark, sf, "documents").select("doc_id", "text", "lang")
     labels = _read(spark, sf, "labels").select("doc_id", "quality")
     lang = F.array_position(F.array(*[F.lit(x) for x in LANGS]), F.col("lang")) - 1
     class_id = (lang * 2 + F.col("quality")).cast("int")
-    return emotion.decode_labels(docs.join(labels, "doc_id").withColumn("label_id", class_id)).select(
-        "doc_id", "tokens", "label", "label_id"
-    )
+    # Texts are joined, not their tokens, which take several times the room in a shuffle.
+    labelled = emotion.decode_labels(docs.join(labels, "doc_id").withColumn("label_id", class_id))
+    return features.tokens_of(labelled).select("doc_id", "tokens", "label", "label_id")
 
 
 def q_emotion_predict(spark: SparkSession, sf: str) -> DataFrame:

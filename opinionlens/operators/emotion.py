@@ -59,6 +59,16 @@ def _words(tokens: str, max_length: int | None) -> Column:
     return given if max_length is None else truncate_tokens(given, max_length)
 
 
+def training_rows(train: DataFrame, tokens: str = "tokens", label_id: str = "label_id", max_length: int | None = None) -> DataFrame:
+    """(words, y) in no more parts than cores, without a shuffle.
+
+    Each part sends a gradient of ``features`` x classes numbers in every
+    iteration, whatever it holds, so parts must not grow with the input.
+    """
+    ready = train.select(_words(tokens, max_length).alias("words"), F.col(label_id).cast("double").alias("y"))
+    return ready.coalesce(max(1, train.sparkSession.sparkContext.defaultParallelism))
+
+
 def fit_emotion(
     train: DataFrame,
     tokens: str = "tokens",
@@ -74,14 +84,13 @@ def fit_emotion(
     that can take no more. Words share one of ``features`` buckets by chance;
     for vocabularies of that size and above, give more.
     """
-    ready = train.select(_words(tokens, max_length).alias("words"), F.col(label_id).cast("double").alias("y"))
     stages = [
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
         LogisticRegression(
             labelCol="y", featuresCol="features", family="multinomial", maxIter=max_iter, regParam=decay
         ),
     ]
-    return Pipeline(stages=stages).fit(ready)
+    return Pipeline(stages=stages).fit(training_rows(train, tokens, label_id, max_length))
 
 
 def predict_emotion(

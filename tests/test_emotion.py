@@ -12,6 +12,7 @@ from opinionlens.operators.emotion import (
     save_model,
     split_labelled,
     train_test_split,
+    training_rows,
 )
 
 
@@ -51,3 +52,11 @@ def test_train_save_load(spark, tmp_path):
     got = predict_emotion(load_model(str(tmp_path / "m")), df).collect()
     assert all(r["predicted_label"] == ("joy" if r["label_id"] else "sad") for r in got)
     assert all(0.5 < r["probability"] <= 1 for r in got)
+
+
+def test_training_parts_do_not_grow_with_the_input(spark):
+    rows = [(i, ["good" if i % 2 else "bad", f"w{i}"], i % 2) for i in range(400)]
+    train = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>, label_id int").repartition(100)
+    ready = training_rows(train)
+    assert ready.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(map(str, ready.collect())) == sorted(map(str, training_rows(train.coalesce(1)).collect()))

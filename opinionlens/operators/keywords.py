@@ -114,7 +114,7 @@ class _Best:
     def _add(self, names: pa.Array, words: np.ndarray) -> None:
         far = np.arccos(np.clip(self.floor - 3 * 10.0**-DIGITS, -1, 1)) + self.away + 1e-6
         least = np.cos(np.minimum(np.maximum.reduceat(far, self.runs), np.pi))
-        near, short, found = self.centres @ words.T, words.astype(np.float32), []
+        near, short, found, n_found = self.centres @ words.T, words.astype(np.float32), [], 0
         for i, (a, b) in enumerate(zip(self.runs, np.append(self.runs[1:], len(self.texts)), strict=True)):
             met = np.flatnonzero(near[self.own[i]] >= least[i] - 1e-9) if least[i] > -1 else np.arange(len(words))
             if not len(met):
@@ -133,9 +133,10 @@ class _Best:
                 exact = np.einsum("ij,ij->i", self.texts[at + row], words[met[col]])
                 kept = exact >= floor[row]
                 found.append((row[kept] + at, met[col[kept]], exact[kept]))
-                if sum(len(row) for row, *_ in found) > CELLS // 4:  # many equal words
+                n_found += int(kept.sum())
+                if n_found > CELLS // 4:  # many equal words
                     self._keep(*map(np.concatenate, zip(*found)), names)
-                    found = []
+                    found, n_found = [], 0
         if found:
             self._keep(*map(np.concatenate, zip(*found)), names)
         if 2 * self.n_held > 3 * self.k * len(self.texts):
